@@ -46,7 +46,7 @@ class Grid:
     def named(self, table: str) -> DataFrame:
         """An export with its nameless rows rejected."""
         key = S.EXPORT_KEYS[table]
-        return C.require_key(C.trim_keys(self.projected(_EXPORTS[table]), [key]), key)
+        return C.require_key(C.trim_keys(self.projected(EXPORTS[table]), [key]), key)
 
     @cached_property
     def std_voltages(self):
@@ -142,7 +142,7 @@ class Grid:
         }
 
 
-_EXPORTS = {
+EXPORTS = {
     "voltages": "g_voltages",
     "seqcurrents": "g_currents",
     "seqpowers": "g_powers",
@@ -295,27 +295,27 @@ def rank_global(g: Grid) -> DataFrame:
 
 
 def cumulative_share(g: Grid) -> DataFrame:
-    lines = g.table("lineitem").select(*LINE_KEY, "l_extendedprice")
+    """Share of the quantity in the lines up to each one, dearest first.
+
+    Quantities are whole numbers, so their sums are the same in any order.
+    """
+    lines = g.table("lineitem").select(*LINE_KEY, "l_extendedprice", "l_quantity")
     ordered = ordered_totals(
         lines, "l_extendedprice", descending=True, ties=LINE_KEY,
-        rank="price_rank", running={"so_far": "l_extendedprice"},
+        rank="price_rank", running={"so_far": "l_quantity"},
     )
-    total = lines.agg(F.sum("l_extendedprice").alias("total_price"))
-    share = N.percent_of(F.col("so_far"), F.col("total_price"))
+    total = lines.agg(F.sum("l_quantity").alias("total_quantity"))
+    share = N.percent_of(F.col("so_far"), F.col("total_quantity"))
     return with_values(ordered, total).select(
-        *LINE_KEY, "l_extendedprice", "price_rank", F.round(share, 4).alias("cumulative_percent")
+        *lines.columns, "price_rank", share.alias("cumulative_percent")
     )
 
 
 def share_of_total_lines(g: Grid) -> DataFrame:
-    lines = g.table("lineitem").select(*LINE_KEY, "l_extendedprice", "l_quantity")
-    shared = share_of_total(
-        lines,
-        {"price_percent": "l_extendedprice", "quantity_percent": "l_quantity"},
-        {"total_price": "l_extendedprice", "total_quantity": "l_quantity"},
+    lines = g.table("lineitem").select(*LINE_KEY, "l_quantity")
+    return share_of_total(
+        lines, {"quantity_percent": "l_quantity"}, {"total_quantity": "l_quantity"}
     )
-    shared = _rounded(shared, 8, "price_percent", "quantity_percent")
-    return _rounded(shared, 2, "total_price", "total_quantity")
 
 
 # Marts -----------------------------------------------------------------------

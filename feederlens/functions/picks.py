@@ -10,11 +10,6 @@ def count_where(condition: Column) -> Column:
     return F.sum(F.when(condition, 1).otherwise(0))
 
 
-def value_where(condition: Column, value: Column) -> Column:
-    """The value found where the condition holds, NULL if nowhere."""
-    return F.max(F.when(condition, value))
-
-
 def name_of_lowest(name: Column, measure: Column) -> Column:
     """Name of the row with the lowest measure; of equal rows, the first name."""
     return F.min(F.when(measure.isNotNull(), F.struct(measure, name.alias("name"))))["name"]

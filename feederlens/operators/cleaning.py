@@ -50,7 +50,7 @@ def null_tokens(df: DataFrame, tokens: Iterable[str] = NULL_TOKENS) -> DataFrame
 
 def drop_all_null(df: DataFrame) -> DataFrame:
     """Drop rows without a single value."""
-    return df.na.drop(how="all")
+    return df.na.drop(how="all", subset=[f"`{c}`" for c in df.columns])
 
 
 def trim_keys(df: DataFrame, keys: Iterable[str]) -> DataFrame:

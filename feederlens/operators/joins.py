@@ -28,28 +28,27 @@ def left_star(
     """
     total = fact.count()
     hot = _hot_keys(fact, key, total) if total > split_above_rows else []
-    if not hot:
-        return reduce(lambda left, side: left.join(side, key, "left"), sides, fact)
-
-    columns = fact.columns
-    is_hot = F.col(key).isin([h for h in hot if h is not None])
-    # By value, so a recomputed task splits the same way. Whole-row copies
-    # stay together; dedupe() removes them earlier.
-    part = F.pmod(F.xxhash64(*columns), F.lit(SPLITS)).cast("int")
-    split = fact.withColumn("_part", F.when(is_hot | F.col(key).isNull(), part).otherwise(0))
-    every_part = F.sequence(F.lit(0), F.lit(SPLITS - 1))
-    repeated = [
-        side.withColumn("_part", F.explode(F.when(is_hot, every_part).otherwise(F.array(F.lit(0)))))
-        for side in sides
-    ]
-    joined = reduce(lambda left, side: left.join(side, [key, "_part"], "left"), repeated, split)
-    return joined.select(*columns, *[c for side in sides for c in side.columns if c != key])
+    on, left = [key], fact
+    if hot:
+        is_hot = F.col(key).isin([h for h in hot if h is not None])
+        # By value, so a recomputed task splits the same way. Whole-row copies
+        # stay together; dedupe() removes them earlier.
+        part = F.pmod(F.xxhash64(*fact.columns), F.lit(SPLITS)).cast("int")
+        spread = is_hot | F.col(key).isNull()
+        left = fact.withColumn("_part", F.when(spread, part).otherwise(0))
+        every = F.when(is_hot, F.sequence(F.lit(0), F.lit(SPLITS - 1)))
+        every = every.otherwise(F.array(F.lit(0)))
+        sides = [side.withColumn("_part", F.explode(every)) for side in sides]
+        on.append("_part")
+    joined = reduce(lambda rows, side: rows.join(side, on, "left"), sides, left)
+    return joined.select(*fact.columns, *[c for s in sides for c in s.columns if c not in on])
 
 
 def _hot_keys(df, key, total) -> list:
     """Keys with more than HOT_SHARE of a row sample: at most 1 / HOT_SHARE."""
-    counted = df.select(key).sample(min(1.0, SAMPLE_ROWS / total), seed=11).groupBy(key).count()
-    return [r[key] for r in counted.filter(F.col("count") > SAMPLE_ROWS * HOT_SHARE).collect()]
+    sampled = min(total, SAMPLE_ROWS)
+    counted = df.select(key).sample(sampled / total, seed=11).groupBy(key).count()
+    return [r[key] for r in counted.filter(F.col("count") > sampled * HOT_SHARE).collect()]
 
 
 def with_values(df: DataFrame, one_row: DataFrame) -> DataFrame:

@@ -136,7 +136,7 @@ def _key(measure, descending, ties) -> Column:
 def _cut_points(df, key, slots, total) -> tuple[list, bool]:
     """Sorted cut points between slots, and whether one key alone fills a slot."""
     wanted = slots * SAMPLE_PER_SLOT
-    keys = df.select(key.alias("k")).sample(min(1.0, wanted / total), seed=7)
+    keys = df.sample(min(1.0, wanted / total), seed=7).select(key.alias("k"))
     [found] = (
         keys.agg(F.sort_array(F.collect_list("k")).alias("s"))
         .select(

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,44 +27,70 @@ class Layers:
         self.spark, self.fmt = spark, fmt
         self.tables: dict[str, DataFrame] = {}
 
-    def save(self, layer: str, name: str, df: DataFrame) -> DataFrame:
-        self.tables[name] = save_table(df, f"{layer}.{name}", self.fmt)
-        return self.tables[name]
+    def save(self, layer: str, **builds: Callable[[], DataFrame]) -> None:
+        """Build and save tables that do not need each other, side by side."""
+
+        def one(name):
+            return name, save_table(builds[name](), f"{layer}.{name}", self.fmt)
+
+        with ThreadPoolExecutor(len(builds)) as pool:
+            self.tables.update(pool.map(one, builds))
 
 
 def build_silver(out: Layers, raw: Mapping[str, DataFrame], settings: S.GridSettings) -> None:
-    for name, df in raw.items():
-        base = out.save("silver", name, silver.clean_export(df, name))
-        out.save("silver", f"{name}_standardized", STANDARDIZE[name](base, settings))
+    t = out.tables
+    out.save("silver", **{
+        name: lambda name=name: silver.clean_export(raw[name], name) for name in STANDARDIZE
+    })
+    out.save("silver", **{
+        f"{name}_standardized": lambda name=name: STANDARDIZE[name](t[name], settings)
+        for name in STANDARDIZE
+    })
 
 
 def build_gold(out: Layers) -> None:
     t = out.tables
-    out.save("gold", "voltage_analysis", gold.voltage_analysis(t["voltages_standardized"]))
-    out.save("gold", "asset_loading", gold.asset_loading(t["seqcurrents_standardized"]))
-    out.save("gold", "power_flow", gold.power_flow(t["seqpowers_standardized"]))
-    out.save("gold", "voltage_unbalance", gold.voltage_unbalance(t["seqvoltages_standardized"]))
-    out.save("gold", "asset_summary", gold.asset_summary(t["asset_loading"], t["power_flow"]))
+    out.save(
+        "gold",
+        voltage_analysis=lambda: gold.voltage_analysis(t["voltages_standardized"]),
+        asset_loading=lambda: gold.asset_loading(t["seqcurrents_standardized"]),
+        power_flow=lambda: gold.power_flow(t["seqpowers_standardized"]),
+        voltage_unbalance=lambda: gold.voltage_unbalance(t["seqvoltages_standardized"]),
+    )
+    out.save(
+        "gold", asset_summary=lambda: gold.asset_summary(t["asset_loading"], t["power_flow"])
+    )
 
 
 def build_analytics(out: Layers, settings: S.GridSettings) -> None:
     t = out.tables
-
-    def save(name, df):
-        out.save("analytics", name, df)
-
-    save("voltage_performance", marts.voltage_performance(t["voltage_analysis"]))
-    save("voltage_deterioration", marts.voltage_deterioration(t["voltage_performance"], settings))
-    save("asset_demand", marts.asset_demand(t["power_flow"], settings))
-    save("pump_demand", marts.pump_demand(t["power_flow"], settings))
-    save("pump_demand_contribution", marts.pump_demand_contribution(t["pump_demand"]))
-    save("pump_demand_kpi", marts.pump_demand_kpi(t["pump_demand"]))
-    save("transformer_performance", marts.transformer_performance(t["asset_summary"], settings))
-    save("voltage_unbalance_hotspots", marts.voltage_unbalance_hotspots(t["voltage_unbalance"]))
-    save("management_kpi_summary", marts.management_kpi_summary(
-        t["voltage_analysis"], t["voltage_deterioration"], t["pump_demand"],
-        t["transformer_performance"], t["voltage_unbalance_hotspots"], settings,
-    ))
+    out.save(
+        "analytics",
+        voltage_performance=lambda: marts.voltage_performance(t["voltage_analysis"]),
+        asset_demand=lambda: marts.asset_demand(t["power_flow"], settings),
+        pump_demand=lambda: marts.pump_demand(t["power_flow"], settings),
+        transformer_performance=lambda: marts.transformer_performance(
+            t["asset_summary"], settings
+        ),
+        voltage_unbalance_hotspots=lambda: marts.voltage_unbalance_hotspots(
+            t["voltage_unbalance"]
+        ),
+    )
+    out.save(
+        "analytics",
+        voltage_deterioration=lambda: marts.voltage_deterioration(
+            t["voltage_performance"], settings
+        ),
+        pump_demand_contribution=lambda: marts.pump_demand_contribution(t["pump_demand"]),
+        pump_demand_kpi=lambda: marts.pump_demand_kpi(t["pump_demand"]),
+    )
+    out.save(
+        "analytics",
+        management_kpi_summary=lambda: marts.management_kpi_summary(
+            t["voltage_analysis"], t["voltage_deterioration"], t["pump_demand"],
+            t["transformer_performance"], t["voltage_unbalance_hotspots"], settings,
+        ),
+    )
 
 
 def build_extracts(out: Layers, settings: S.GridSettings) -> None:
@@ -71,14 +98,14 @@ def build_extracts(out: Layers, settings: S.GridSettings) -> None:
     profile = (
         t["voltage_performance"], t["voltage_deterioration"], t["voltage_unbalance_hotspots"]
     )
-    for name, df in {
-        "powerbi_network_health": extracts.network_health(*profile),
-        "powerbi_pump_demand": extracts.pump_demand(t["pump_demand_contribution"]),
-        "powerbi_asset_performance": extracts.asset_performance(t["asset_summary"]),
-        "powerbi_kpi_summary": extracts.kpi_summary(t["management_kpi_summary"]),
-        "powerbi_priority_locations": extracts.priority_locations(*profile, settings),
-    }.items():
-        out.save("analytics", name, df)
+    out.save(
+        "analytics",
+        powerbi_network_health=lambda: extracts.network_health(*profile),
+        powerbi_pump_demand=lambda: extracts.pump_demand(t["pump_demand_contribution"]),
+        powerbi_asset_performance=lambda: extracts.asset_performance(t["asset_summary"]),
+        powerbi_kpi_summary=lambda: extracts.kpi_summary(t["management_kpi_summary"]),
+        powerbi_priority_locations=lambda: extracts.priority_locations(*profile, settings),
+    )
 
 
 def run(

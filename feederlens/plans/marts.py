@@ -36,11 +36,13 @@ def voltage_performance(voltage: DataFrame) -> DataFrame:
 
 
 def reference_voltage(low_voltage: DataFrame, settings: S.GridSettings = S.DEFAULTS) -> DataFrame:
-    """One row: average voltage of the reference bus, NULL if there is none."""
-    at_reference = F.col("bus_name") == settings.reference_bus
-    return low_voltage.agg(
-        P.value_where(at_reference, F.col("voltage_average_v")).alias("dt_side_reference_voltage_v")
-    )
+    """One row: average voltage of the reference bus, NULL if there is none.
+
+    Filtering first lets the scan skip what cannot hold the bus; the maximum
+    over no rows is still one row.
+    """
+    at_reference = low_voltage.filter(F.col("bus_name") == settings.reference_bus)
+    return at_reference.agg(F.max("voltage_average_v").alias("dt_side_reference_voltage_v"))
 
 
 def voltage_deterioration(

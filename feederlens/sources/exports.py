@@ -47,16 +47,22 @@ def with_lineage(df: DataFrame) -> DataFrame:
     block = ["_path", "_start"]
     tagged = df.select(
         "*",
-        F.col("_metadata.file_name").alias("source_file"),
         F.col("_metadata.file_path").alias("_path"),
         F.col("_metadata.file_block_start").alias("_start"),
         F.monotonically_increasing_id().alias("_seen"),
     )
     ahead = Window.partitionBy("_path").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
+    # The path is a URL; "+" stands for itself in it.
+    name = F.replace(F.substring_index("_path", "/", -1), F.lit("+"), F.lit("%2B"))
     offsets = (
         tagged.groupBy(*block)
         .agg(F.min("_seen").alias("_first"), F.count("*").alias("_rows"))
-        .select(*block, "_first", F.coalesce(F.sum("_rows").over(ahead), F.lit(0)).alias("_ahead"))
+        .select(
+            *block,
+            "_first",
+            F.coalesce(F.sum("_rows").over(ahead), F.lit(0)).alias("_ahead"),
+            F.url_decode(name).alias("source_file"),
+        )
     )
     # A block ends where its file or its task's share of it ends.
     blocks = len(df.inputFiles()) + 2 * df.rdd.getNumPartitions()
