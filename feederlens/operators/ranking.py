@@ -15,13 +15,15 @@ measure that holds much of the table, NULL too, is split by the tie-breaks.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import ArrayType, StructField, StructType
 
-# A table up to this size is one slot; larger ones aim at it per slot.
-ROWS_PER_SLOT = 50_000
+# Rows per slot: at least the first, so a table up to it is one slot, and at
+# most the second, until MAX_SLOTS bounds what is broadcast and sampled.
+ROWS_PER_SLOT = (50_000, 250_000)
 MAX_SLOTS = 10_000
 SAMPLE_PER_SLOT = 32
 
@@ -32,13 +34,13 @@ def global_rank(
     name: str,
     descending: bool = False,
     ties: Sequence[str] = (),
-    **sizing: int,
+    slots: int | None = None,
 ) -> DataFrame:
     """Add ``name``: 1..n by the measure, equal measures by ``ties`` ascending.
 
     Missing measures come first ascending and last descending.
     """
-    return ordered_totals(df, measure, descending, ties, rank=name, **sizing)
+    return ordered_totals(df, measure, descending, ties, rank=name, slots=slots)
 
 
 def ordered_totals(
@@ -48,19 +50,19 @@ def ordered_totals(
     ties: Sequence[str] = (),
     rank: str | None = None,
     running: Mapping[str, str] | None = None,
-    rows_per_slot: int = ROWS_PER_SLOT,
-    max_slots: int = MAX_SLOTS,
+    slots: int | None = None,
 ) -> DataFrame:
     """Add a global rank and running sums ``{new column: summed column}`` in one pass.
 
     Counts the rows when called, and samples the order key if there are many.
     ``ties`` should tell rows apart; rows equal in all of them are ranked in
-    any order among themselves.
+    any order among themselves. ``slots`` overrides the number of slots.
     """
     running = dict(running or {})
     total = df.count()
-    slots = min(max_slots, -(-total // rows_per_slot))
-    if slots <= 1:
+    if slots is None:
+        slots = _slots_for(total, df.sparkSession.sparkContext.defaultParallelism)
+    if slots <= 1 or not total:
         return _within(df, Window.orderBy(*_order(measure, descending, ties)), rank, running)
 
     ties = list(ties)
@@ -75,7 +77,7 @@ def ordered_totals(
 
     slotted = _with_slot(df, _key(measure, descending, ties), cuts)
     before = Window.orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
-    # One row per slot, so at most max_slots rows.
+    # One row per slot.
     offsets = (
         slotted.groupBy("_slot")
         .agg(F.count("*").alias("_rows"), *[F.sum(c).alias(f"_sum_{n}") for n, c in running.items()])
@@ -106,6 +108,12 @@ def ordered_totals(
     return placed.select(*kept, *[value.alias(n) for n, value in totals.items()])
 
 
+def _slots_for(total: int, cores: int) -> int:
+    """One slot per core, within the bounds on rows per slot and on slots."""
+    least, most = ROWS_PER_SLOT
+    return min(MAX_SLOTS, max(cores, math.ceil(total / most)), math.ceil(total / least))
+
+
 def _within(df, window, rank, running):
     added = {
         n: F.sum(c).over(window.rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -143,7 +151,7 @@ def _cut_points(df, key, slots, total) -> tuple[list, bool]:
             F.size("s").alias("n"),
             F.transform(
                 F.sequence(F.lit(1), F.lit(slots - 1)),
-                lambda i: F.get("s", F.floor(i * F.size("s") / slots).cast("int")),
+                lambda i: F.get("s", F.floor(F.size("s").cast("bigint") * i / slots).cast("int")),
             ).alias("cuts"),
         )
         .collect()

@@ -33,12 +33,12 @@ def ordered(data, descending):
 
 
 @pytest.mark.parametrize("descending", [False, True])
-@pytest.mark.parametrize("rows_per_slot", [10_000, 1500, 200])
-def test_rank_and_running_sum(measures, descending, rows_per_slot):
+@pytest.mark.parametrize("slots", [1, 4, 30])
+def test_rank_and_running_sum(measures, descending, slots):
     data = [tuple(r) for r in measures.collect()]
     result = R.ordered_totals(
         measures, "x", descending, ties=["name", "id"], rank="r", running={"total": "y"},
-        rows_per_slot=rows_per_slot,
+        slots=slots,
     )
     assert result.columns == ["id", "name", "x", "y", "total", "r"]
     found = {r.id: (r.r, r.total) for r in result.collect()}
@@ -50,13 +50,13 @@ def test_rank_and_running_sum(measures, descending, rows_per_slot):
 
 def test_many_slots_leave_some_empty(spark):
     few = spark.range(50).select("id", F.lit(1.5).alias("x"))
-    ranked = R.global_rank(few, "x", "r", ties=["id"], rows_per_slot=1)
+    ranked = R.global_rank(few, "x", "r", ties=["id"], slots=50)
     assert [(r.id, r.r) for r in ranked.orderBy("r").collect()] == [(i, i + 1) for i in range(50)]
 
 
 def test_rows_equal_in_the_whole_key_are_numbered_once(spark):
     df = spark.range(3000).select((F.col("id") % 3 == 0).cast("int").alias("x"), F.lit("n").alias("n"))
-    ranked = R.global_rank(df, "x", "r", ties=["n"], rows_per_slot=100)
+    ranked = R.global_rank(df, "x", "r", ties=["n"], slots=30)
     assert ranked.columns == ["x", "n", "r"]
     by_rank = [(r.r, r.x) for r in ranked.orderBy("r").collect()]
     assert by_rank == [(i + 1, 0 if i < 2000 else 1) for i in range(3000)]
@@ -72,7 +72,7 @@ def test_a_hot_value_is_split_by_its_ties(measures):
 
 
 def test_the_bucketed_plan_moves_rows_once_and_not_into_one_task(measures):
-    ranked = R.global_rank(measures, "x", "r", ties=["name", "id"], rows_per_slot=500)
+    ranked = R.global_rank(measures, "x", "r", ties=["name", "id"], slots=12)
     plan = ranked._jdf.queryExecution().executedPlan().toString()
     single = plan.index("Exchange SinglePartition")
     # The only single-partition step is over per-slot counts.
@@ -89,6 +89,24 @@ def test_empty_and_single(spark):
 
 
 def test_rank_is_a_bigint(measures):
-    for size in (10_000, 500):
-        ranked = R.global_rank(measures, "x", "r", ties=["id"], rows_per_slot=size)
+    for slots in (1, 12):
+        ranked = R.global_rank(measures, "x", "r", ties=["id"], slots=slots)
         assert ranked.schema["r"].dataType.simpleString() == "bigint"
+
+
+@pytest.mark.parametrize("total,cores,slots", [
+    (0, 8, 0), (50_000, 8, 1), (50_001, 8, 2), (600_000, 8, 8), (24_000_000, 8, 96),
+    (24_000_000, 4000, 480), (10**12, 8000, R.MAX_SLOTS),
+])
+def test_number_of_slots(total, cores, slots):
+    assert R._slots_for(total, cores) == slots
+
+
+def test_the_largest_number_of_slots(spark):
+    df = spark.range(400_000).select("id", F.pmod(F.xxhash64("id"), F.lit(10**6)).cast("double").alias("x"))
+    cuts, copies = R._cut_points(df, R._key("x", True, ["id"]), R.MAX_SLOTS, 400_000)
+    assert not copies and len(cuts) == R.MAX_SLOTS - 1
+    ranked = R.global_rank(df, "x", "r", descending=True, ties=["id"], slots=500)
+    plain = R.global_rank(df, "x", "p", descending=True, ties=["id"], slots=1)
+    assert ranked.join(plain, "id").filter("r != p").count() == 0
+    assert ranked.count() == 400_000
