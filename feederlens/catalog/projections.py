@@ -8,7 +8,7 @@ the same in Spark SQL and in the SQL of the check.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 REFERENCE_BUS = "Customer#000000002"
 
@@ -98,9 +98,9 @@ PROJECTIONS = {
 }
 
 
-def project(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def project(df: DataFrame, name: str) -> DataFrame:
+    """A projection of its source table."""
     source, columns = PROJECTIONS[name]
-    df = spark.read.parquet(f"{sf_dir}/{source}.parquet")
     if source == "part":
         df = df.withColumn("terminal", F.explode(F.array(F.lit(1), F.lit(2))))
     return df.selectExpr(*[f"{expression} AS `{column}`" for expression, column in columns])

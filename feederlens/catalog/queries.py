@@ -8,7 +8,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from feederlens.catalog.projections import REFERENCE_BUS, project
+from feederlens.catalog.projections import PROJECTIONS, REFERENCE_BUS, project
 from feederlens.functions import bands, numbers as N, picks as P
 from feederlens.operators import cleaning as C
 from feederlens.operators.joins import with_values
@@ -36,12 +36,15 @@ class Grid:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self._read: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self._read:
+            self._read[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._read[name]
 
     def projected(self, name: str) -> DataFrame:
-        return project(self.spark, self.sf_dir, name)
+        return project(self.table(PROJECTIONS[name][0]), name)
 
     def named(self, table: str) -> DataFrame:
         """An export with its nameless rows rejected."""
@@ -121,25 +124,27 @@ class Grid:
             "asset_summary": self.summary,
         }
 
-    @cached_property
-    def audited_tables(self):
+    def audited(self, *names: str) -> dict[str, DataFrame]:
         """Analytics and BI tables; counting needs no ranks, so none are computed."""
-        return {
-            "voltage_performance": self.voltage,
-            "voltage_deterioration": self.deterioration,
-            "asset_demand": marts.asset_demand_rows(self.power, SETTINGS),
-            "pump_demand": self.pumps,
-            "pump_demand_contribution": self.pumps,
-            "pump_demand_kpi": marts.pump_demand_kpi(self.pumps),
-            "transformer_performance": self.transformers,
-            "voltage_unbalance_hotspots": self.unbalance,
-            "management_kpi_summary": self.kpi,
-            "powerbi_network_health": extracts.network_health(*self.profile),
-            "powerbi_pump_demand": self.pumps,
-            "powerbi_asset_performance": extracts.asset_performance(self.summary),
-            "powerbi_kpi_summary": extracts.kpi_summary(self.kpi),
-            "powerbi_priority_locations": extracts.priority_locations(*self.profile, SETTINGS),
+        builders = {
+            "voltage_performance": lambda: self.voltage,
+            "voltage_deterioration": lambda: self.deterioration,
+            "asset_demand": lambda: marts.asset_demand_rows(self.power, SETTINGS),
+            "pump_demand": lambda: self.pumps,
+            "pump_demand_contribution": lambda: self.pumps,
+            "pump_demand_kpi": lambda: marts.pump_demand_kpi(self.pumps),
+            "transformer_performance": lambda: self.transformers,
+            "voltage_unbalance_hotspots": lambda: self.unbalance,
+            "management_kpi_summary": lambda: self.kpi,
+            "powerbi_network_health": lambda: extracts.network_health(*self.profile),
+            "powerbi_pump_demand": lambda: self.pumps,
+            "powerbi_asset_performance": lambda: extracts.asset_performance(self.summary),
+            "powerbi_kpi_summary": lambda: extracts.kpi_summary(self.kpi),
+            "powerbi_priority_locations": lambda: extracts.priority_locations(
+                *self.profile, SETTINGS
+            ),
         }
+        return {name: builders[name]() for name in names or builders}
 
 
 EXPORTS = {
@@ -413,9 +418,11 @@ _BY_NAME: dict[str, Callable[[Grid], DataFrame]] = {
     "bi_asset_performance": lambda g: extracts.asset_performance(g.summary),
     "bi_kpi_summary": lambda g: extracts.kpi_summary(g.kpi),
     "bi_priority_locations": lambda g: extracts.priority_locations(*g.profile, SETTINGS),
-    "audit_row_counts": lambda g: audits.audit_row_counts(g.audited_tables),
+    "audit_row_counts": lambda g: audits.audit_row_counts(g.audited()),
     "audit_critical_nulls": lambda g: audits.audit_critical_nulls(g.kpi),
-    "audit_entities": lambda g: audits.audit_entities(g.audited_tables),
+    "audit_entities": lambda g: audits.audit_entities(
+        g.audited(*[table for table, _ in audits.EXTRACT_ENTITIES.values()])
+    ),
     "audit_gold": lambda g: audits.audit_gold(g.gold_tables),
 }
 
