@@ -286,9 +286,9 @@ def reference_value(g: Grid) -> DataFrame:
 
 
 def extreme_entity(g: Grid) -> DataFrame:
-    """The order with the highest and the one with the lowest price, by priority."""
+    """The orders with the lowest and with the highest price."""
     price, order = F.col("o_totalprice"), F.col("o_orderkey")
-    return g.table("orders").groupBy("o_orderpriority").agg(
+    return g.table("orders").agg(
         P.name_of_lowest(order, price).alias("lowest_order"),
         P.name_of_highest(order, price).alias("highest_order"),
     )
@@ -363,6 +363,12 @@ _BY_NAME: dict[str, Callable[[Grid], DataFrame]] = {
     "row_stats": row_stats,
     "deviation_percent": deviation_percent,
     "power_triangle": power_triangle,
+    "silver_voltages": lambda g: silver.clean_export(g.projected("g_voltages"), "voltages"),
+    "silver_seqcurrents": lambda g: silver.clean_export(g.projected("g_currents"), "seqcurrents"),
+    "silver_seqpowers": lambda g: silver.clean_export(g.projected("g_powers"), "seqpowers"),
+    "silver_seqvoltages": lambda g: silver.clean_export(
+        g.projected("g_seqvoltages"), "seqvoltages"
+    ),
     "silver_voltages_standardized": lambda g: g.std_voltages,
     "silver_seqcurrents_standardized": lambda g: g.std_currents,
     "silver_seqpowers_standardized": lambda g: g.std_powers,
@@ -424,6 +430,9 @@ _BY_NAME: dict[str, Callable[[Grid], DataFrame]] = {
         g.audited(*[table for table, _ in audits.EXTRACT_ENTITIES.values()])
     ),
     "audit_gold": lambda g: audits.audit_gold(g.gold_tables),
+    "audit_rejected": lambda g: audits.audit_rejected(
+        {table: g.projected(name) for table, name in EXPORTS.items()}
+    ),
 }
 
 

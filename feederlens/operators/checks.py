@@ -7,7 +7,9 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
+from feederlens.functions.numbers import strip
 from feederlens.functions.picks import count_where
+from feederlens.operators.cleaning import quoted
 
 
 def _stack(parts) -> DataFrame:
@@ -38,6 +40,20 @@ def entity_counts(tables: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
     )
 
 
+def rejected_keys(tables: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
+    """One row per raw table: rows, and rows whose key is missing or blank."""
+
+    def check(name, df, key):
+        text = strip(quoted(key))
+        nameless = text.isNull() | (text == "")
+        return df.agg(
+            F.count("*").alias("row_count"),
+            F.coalesce(count_where(nameless), F.lit(0)).alias("rejected_keys"),
+        ).select(F.lit(name).alias("table_name"), "row_count", "rejected_keys")
+
+    return _stack(check(name, df, key) for name, (df, key) in tables.items())
+
+
 def key_checks(tables: Mapping[str, tuple[DataFrame, list[str]]]) -> DataFrame:
     """One row per table: rows, rows with a missing key part, and rows beyond one per key."""
 

@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 
 from feederlens.operators import checks
+from feederlens.settings import EXPORT_KEYS
 
 # Tables in audit order.
 ANALYTICS_TABLES = (
@@ -61,3 +62,8 @@ def audit_entities(tables: Mapping[str, DataFrame]) -> DataFrame:
 def audit_gold(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Rows, rows without a key, and rows beyond one per key, for every gold table."""
     return checks.key_checks({n: (tables[n], keys) for n, keys in GOLD_KEYS.items()})
+
+
+def audit_rejected(raw: Mapping[str, DataFrame]) -> DataFrame:
+    """Rows of every raw export, and how many of them cleaning rejects as nameless."""
+    return checks.rejected_keys({name: (raw[name], key) for name, key in EXPORT_KEYS.items()})

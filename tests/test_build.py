@@ -4,6 +4,7 @@ import pytest
 
 from feederlens.plans import audits, build, gold, marts, reports
 from feederlens.settings import GridSettings
+from feederlens.sources.exports import read_exports
 
 FILES = {
     "voltages": "GRID VOLTAGES 1.csv",
@@ -62,11 +63,16 @@ Line.ONLYPOW,1,1,0,0,0,0,0,,,,
 
 
 @pytest.fixture(scope="module")
-def tables(spark, tmp_path_factory):
+def folder(tmp_path_factory):
     base = tmp_path_factory.mktemp("exports")
     for name, text in CSV.items():
         (base / FILES[name]).write_bytes(text.encode("latin-1"))
-    return build.run_exports(spark, str(base), FILES)
+    return str(base)
+
+
+@pytest.fixture(scope="module")
+def tables(spark, folder):
+    return build.run_exports(spark, folder, FILES)
 
 
 def by(df, key, *columns):
@@ -270,6 +276,13 @@ def test_audits(tables):
     }
 
 
+def test_rejected_rows_are_counted(spark, folder):
+    rejected = audits.audit_rejected(read_exports(spark, folder, FILES))
+    assert by(rejected, "table_name", "row_count", "rejected_keys") == {
+        "voltages": (10, 2), "seqcurrents": (8, 0), "seqpowers": (10, 0), "seqvoltages": (5, 0),
+    }
+
+
 def test_no_pumps_and_no_reference_bus(spark, tables):
     none = tables["power_flow"].filter("asset_type = 'nothing'")
     kpi = marts.pump_demand_kpi(marts.pump_rows(none)).first()
@@ -287,7 +300,10 @@ def plan_of(df):
 def test_filters_reach_the_stored_tables(tables):
     summary = gold.asset_summary(tables["asset_loading"], tables["power_flow"])
     transformers = plan_of(marts.transformer_performance(summary))
-    assert transformers.count("StringStartsWith(element_name,Transformer.)") == 2
+    # Below both aggregations, as a test of the name.
+    assert sum("- Filter" in line and "Transformer." in line for line in transformers.splitlines()) == 2
+    stored = plan_of(marts.transformer_performance(tables["asset_summary"]))
+    assert "EqualTo(asset_type,Transformer)" in stored
     pumps = plan_of(marts.pump_rows(tables["power_flow"]))
     assert "EqualTo(asset_type,Pump Load)" in pumps and "EqualTo(terminal,1)" in pumps
     reference = plan_of(marts.reference_voltage(tables["voltage_analysis"]))
