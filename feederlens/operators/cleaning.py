@@ -75,26 +75,28 @@ def _recast(df, columns, convert):
     ])
 
 
-def dedupe(df: DataFrame, include_lineage: bool = False) -> DataFrame:
+def dedupe(df: DataFrame, include_lineage: bool = False, one_file: bool = False) -> DataFrame:
     """Keep one row per distinct set of business values, the first in file order.
 
     A grouping with a partial stage: copies collapse before the shuffle, so a
     row repeated any number of times costs one shuffled row per task. With
     ``include_lineage`` the lineage columns count as values too; file and row
-    id differ on every row, so then nothing can be removed.
+    id differ on every row, so then nothing can be removed. ``one_file`` says
+    all rows are of one file; comparing row ids alone saves two sorts.
     """
     lineage = [c for c in LINEAGE if c in df.columns]
     if include_lineage:
         return df.dropDuplicates()
     if not lineage:
         return df.distinct()
-    business = [c for c in df.columns if c not in lineage]
-    if lineage == ["source_row_id"]:
-        kept = df.groupBy(*map(quoted, business)).agg(F.min("source_row_id").alias("source_row_id"))
+    if lineage == ["source_row_id"] or (one_file and len(lineage) == 2):
+        values = [quoted(c) for c in df.columns if c != "source_row_id"]
+        kept = df.groupBy(*values).agg(F.min("source_row_id").alias("source_row_id"))
     else:
+        values = [quoted(c) for c in df.columns if c not in lineage]
         first = F.min(F.struct(*lineage)).alias("_first")
-        kept = df.groupBy(*map(quoted, business)).agg(first).select(
-            *map(quoted, business), *[F.col(f"_first.{c}").alias(c) for c in lineage]
+        kept = df.groupBy(*values).agg(first).select(
+            *values, *[F.col(f"_first.{c}").alias(c) for c in lineage]
         )
     return kept.select(*map(quoted, df.columns))
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Collection, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,10 +37,16 @@ class Layers:
             self.tables.update(pool.map(one, builds))
 
 
-def build_silver(out: Layers, raw: Mapping[str, DataFrame], settings: S.GridSettings) -> None:
+def build_silver(
+    out: Layers,
+    raw: Mapping[str, DataFrame],
+    settings: S.GridSettings,
+    one_file: Collection[str] = (),
+) -> None:
     t = out.tables
     out.save("silver", **{
-        name: lambda name=name: silver.clean_export(raw[name], name) for name in STANDARDIZE
+        name: lambda name=name: silver.clean_export(raw[name], name, name in one_file)
+        for name in STANDARDIZE
     })
     out.save("silver", **{
         f"{name}_standardized": lambda name=name: STANDARDIZE[name](t[name], settings)
@@ -113,11 +119,15 @@ def run(
     raw: Mapping[str, DataFrame],
     settings: S.GridSettings = S.DEFAULTS,
     fmt: str = "parquet",
+    one_file: Collection[str] = (),
 ) -> dict[str, DataFrame]:
-    """Build and store all 27 tables from the four raw tables; returns them by name."""
+    """Build and store all 27 tables from the four raw tables; returns them by name.
+
+    ``one_file`` names the raw tables that come from a single file.
+    """
     create_layers(spark)
     out = Layers(spark, fmt)
-    build_silver(out, raw, settings)
+    build_silver(out, raw, settings, one_file)
     build_gold(out)
     build_analytics(out, settings)
     build_extracts(out, settings)
@@ -132,4 +142,6 @@ def run_exports(
     fmt: str = "parquet",
 ) -> dict[str, DataFrame]:
     """The whole way from four CSV exports."""
-    return run(spark, read_exports(spark, base, files), settings, fmt)
+    raw = read_exports(spark, base, files)
+    one_file = {name for name, df in raw.items() if len(df.inputFiles()) == 1}
+    return run(spark, raw, settings, fmt, one_file)

@@ -9,14 +9,14 @@ from feederlens.operators import cleaning as C
 from feederlens import settings as S
 
 
-def clean_export(raw: DataFrame, table: str) -> DataFrame:
+def clean_export(raw: DataFrame, table: str, one_file: bool = False) -> DataFrame:
     """Base silver table of a raw export: typed, without copies and nameless rows."""
     key = S.EXPORT_KEYS[table]
     df = C.trim_keys(raw, [key])
     df = C.coerce_numeric(df, S.EXPORT_NUMBERS[table])
     df = C.coerce_terminal(df, [S.TERMINAL])
     # Rejecting nameless rows first keeps them out of the shuffle of dedupe.
-    df = C.dedupe(C.require_key(df, key))
+    df = C.dedupe(C.require_key(df, key), one_file=one_file)
     df = C.drop_unnamed(df)
     return C.with_limit_flags(df) if table == "seqpowers" else df
 

@@ -61,6 +61,17 @@ def test_dedupe_keeps_the_first_row_in_file_order(copies, rows):
     ]
 
 
+def test_dedupe_within_one_file_needs_no_sort(copies, rows):
+    within = C.dedupe(copies, one_file=True)
+    assert rows(within) == [
+        ("a", None, "f1", 1), ("a", 1.0, "f0", 7), ("a", 1.0, "f1", 2), ("b", 1.0, "f2", 1),
+    ]
+    plan = within._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "Sort" not in plan
+    one = copies.filter("source_file = 'f1'")
+    assert rows(C.dedupe(one, one_file=True)) == rows(C.dedupe(one))
+
+
 def test_dedupe_with_row_id_only(copies, rows):
     assert rows(C.dedupe(copies.drop("source_file"))) == [("a", None, 1), ("a", 1.0, 2), ("b", 1.0, 1)]
 

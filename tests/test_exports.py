@@ -1,5 +1,6 @@
 import pytest
 
+from feederlens.plans import silver
 from feederlens.sources import exports as X
 from feederlens.sources.tables import create_layers, save_table
 
@@ -62,6 +63,19 @@ def test_latin1_quotes_and_blank_headers(spark, tmp_path):
     ]
 
 
+def test_copies_over_several_files_are_removed(spark, tmp_path):
+    for part in "ab":
+        (tmp_path / f"{part}.csv").write_text("Bus,V1\nX,1\nY,2\nX,1\n")
+    raw = X.raw_table(X.read_export(spark, str(tmp_path)))
+    assert len(raw.inputFiles()) == 2
+    clean = silver.clean_export(raw, "seqvoltages")
+    assert sorted(tuple(r) for r in clean.collect()) == [("X", 1.0, "a.csv", 1), ("Y", 2.0, "a.csv", 2)]
+    single = X.raw_table(X.read_export(spark, str(tmp_path / "b.csv")))
+    assert len(single.inputFiles()) == 1
+    clean = silver.clean_export(single, "seqvoltages", one_file=True)
+    assert sorted(tuple(r) for r in clean.collect()) == [("X", 1.0, "b.csv", 1), ("Y", 2.0, "b.csv", 2)]
+
+
 def test_multiline_cells(spark, tmp_path):
     (tmp_path / "m.csv").write_bytes(b'Bus,V1\n"two\nlines",1\nx,2\n')
     raw = X.raw_table(X.read_export(spark, str(tmp_path / "m.csv"), multiline=True))
