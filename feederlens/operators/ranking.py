@@ -132,10 +132,13 @@ def _order(measure, descending, ties):
 def _key(measure, descending, ties) -> Column:
     """The order as one struct that compares ascending."""
     value = F.col(measure)
-    # Of the two groups the one that comes first is 0.
-    group = value.isNull() if descending else value.isNotNull()
+    # As Spark sorts: NaN is above every number, wherever NULL goes.
+    if descending:
+        group = F.when(value.isNull(), 2).when(F.isnan(value), 0).otherwise(1)
+    else:
+        group = F.when(value.isNull(), 0).otherwise(1)
     return F.struct(
-        group.cast("int").alias("group"),
+        group.alias("group"),
         (-value if descending else value).alias("value"),
         *[F.col(t).alias(f"tie{i}") for i, t in enumerate(ties)],
     )

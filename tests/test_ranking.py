@@ -48,6 +48,27 @@ def test_rank_and_running_sum(measures, descending, slots):
         assert found[i] == (place, so_far if any_seen else None)
 
 
+@pytest.mark.parametrize("descending", [False, True])
+def test_nan_and_signed_zero_rank_as_spark_sorts_them(spark, descending):
+    value = (
+        F.when(F.col("id") % 5 == 0, float("nan")).when(F.col("id") % 5 == 1, None)
+        .when(F.col("id") % 5 == 2, F.lit(-0.0)).when(F.col("id") % 5 == 3, F.lit(0.0))
+        .otherwise(F.col("id") - 200)
+    )
+    df = spark.range(400).select("id", value.cast("double").alias("x"))
+    in_slots = R.global_rank(df, "x", "r", descending, ["id"], slots=20)
+    plain = R.global_rank(df, "x", "r", descending, ["id"], slots=1)
+    assert dict(in_slots.select("id", "r").collect()) == dict(plain.select("id", "r").collect())
+
+
+def test_ranks_of_whole_numbers_and_decimals(spark):
+    df = spark.range(300).select("id", (F.col("id") % 7).alias("n"), (F.col("id") % 9).cast("decimal(9,2)").alias("d"))
+    for measure in ("n", "d"):
+        in_slots = R.global_rank(df, measure, "r", True, ["id"], slots=9)
+        plain = R.global_rank(df, measure, "r", True, ["id"], slots=1)
+        assert dict(in_slots.select("id", "r").collect()) == dict(plain.select("id", "r").collect())
+
+
 def test_many_slots_leave_some_empty(spark):
     few = spark.range(50).select("id", F.lit(1.5).alias("x"))
     ranked = R.global_rank(few, "x", "r", ties=["id"], slots=50)
