@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from feederlens.llm import line_dedup, packing, quality, sharding, tokens
+from feederlens.llm import line_dedup, minhash, packing, quality, sharding, tokens
 from feederlens.llm.scratch import table
 
 
@@ -27,6 +27,10 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(docs).select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), n=3, percent=85)
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
@@ -44,6 +48,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_packing": op1_packing,
         "op2_line_dedup": op2_line_dedup,
         "op3_token_counts": op3_token_counts,
+        "op5_minhash": op5_minhash,
         "op7_sharding": op7_sharding,
         "op9_quality_rules": op9_quality_rules,
     }
