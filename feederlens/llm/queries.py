@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from feederlens.llm import line_dedup, minhash, packing, quality, sharding, tokens
+from feederlens.llm import line_dedup, minhash, packing, phrases, quality, sharding, tokens
 from feederlens.llm.scratch import table
 
 
@@ -31,6 +31,12 @@ def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), n=3, percent=85)
 
 
+def op6_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256")
+    )
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
@@ -49,6 +55,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_line_dedup": op2_line_dedup,
         "op3_token_counts": op3_token_counts,
         "op5_minhash": op5_minhash,
+        "op6_phrases": op6_phrases,
         "op7_sharding": op7_sharding,
         "op9_quality_rules": op9_quality_rules,
     }
