@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from feederlens.llm import line_dedup, minhash, packing, phrases, quality, sharding, tokens
+from feederlens.llm import contamination, langid, line_dedup, minhash, packing, phrases, quality, sharding, tokens
 from feederlens.llm.scratch import table
 
 
@@ -27,6 +27,11 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(docs).select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def op4_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination.contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.withColumn("containment", F.col("n_shared") / F.col("n_item"))
+
+
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), n=3, percent=85)
 
@@ -49,15 +54,22 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return langid.identify(docs).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_packing": op1_packing,
         "op2_line_dedup": op2_line_dedup,
         "op3_token_counts": op3_token_counts,
+        "op4_contamination": op4_contamination,
         "op5_minhash": op5_minhash,
         "op6_phrases": op6_phrases,
         "op7_sharding": op7_sharding,
         "op9_quality_rules": op9_quality_rules,
+        "op10_langid": op10_langid,
     }
 
 
