@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from feederlens.llm import contamination, langid, line_dedup, minhash, packing, phrases, quality, sharding, tokens
+from feederlens.llm import contamination, extraction, langid, line_dedup, minhash, packing, phrases, quality, sharding, tokens
 from feederlens.llm.scratch import table
 
 
@@ -46,6 +46,10 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
 
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality.judge(docs).select(
@@ -59,6 +63,12 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_packing": op1_packing,
@@ -68,8 +78,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_minhash": op5_minhash,
         "op6_phrases": op6_phrases,
         "op7_sharding": op7_sharding,
+        "op8_html_extraction": op8_html_extraction,
         "op9_quality_rules": op9_quality_rules,
         "op10_langid": op10_langid,
+        "pipeline": pipeline,
     }
 
 
