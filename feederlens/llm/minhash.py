@@ -5,15 +5,20 @@ class, named by its smallest doc_id; only classes are compared. Every class
 has ``BANDS * ROWS`` minima of universal hashes; classes that agree in one
 band share a bucket.
 
-A bucket never emits all its pairs. It is worked off centre by centre: the
-centre is compared with all others of the bucket that are not yet in its
-component, then leaves it. As the Jaccard distance is a metric, a member
-linked to the centre at distance d can only be linked to one outside the
-centre's links at e if e <= d + the limit; members for which that holds for no
-other leave too. A bucket is done once all its members are in one component.
-So every link between bucket members is found, or its ends are connected
-anyway, and a group of near copies costs a few comparisons each. A first pass
-compares each class with its smallest centre only; it settles most buckets.
+Buckets that share classes make a block: the connected classes of the bucket
+graph. A block whose comparisons fit a task (``MAX_WORK``, ``MAX_BYTES``, checked
+by counts) is settled in one: each class in turn is held against all those not
+yet in its component, by signature first, then by its full set. Nothing but
+the resulting components leaves the task.
+
+A larger block is worked off in rounds over all tasks. In each round a bucket
+has up to ``CENTRES`` centres, of different components; a centre is compared
+with all members of other components, then leaves the bucket. As the Jaccard
+distance is a metric, a member linked to the centre at distance d can only be
+linked to one outside the centre's links at e if e <= d + the limit; members
+for which that holds for no other leave too. A bucket is done once all its
+members are in one component. So every link between bucket members is found, or
+its ends are connected anyway, and no bucket emits all its pairs.
 
 Pairs whose signatures agree far too little are given up; all others are
 decided on the full sets. Components come from alternating large-star and
@@ -34,7 +39,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from feederlens.llm import grams
 from feederlens.llm.components import connected
@@ -47,6 +52,11 @@ ROWS = 5
 #: Signatures estimate the similarity with a deviation of at most 0.036; pairs
 #: this far below the limit are given up.
 SLACK = 0.18
+#: Members times shingles, and bytes, of a block that one task settles.
+MAX_WORK = 1 << 32
+MAX_BYTES = 64_000_000
+#: Centres of a bucket in one round of a larger block.
+CENTRES = 16
 #: So many ids (16 MB) may go to all tasks.
 MAX_SENT_IDS = 2_000_000
 
@@ -166,6 +176,45 @@ def _compared(percent: int):
     return compared
 
 
+def _settled(percent: int):
+    """The components of one block: (a, b) ties each class to its component's smallest."""
+
+    def settled(block: pa.Table) -> pa.Table:
+        order = np.argsort(block.column("id").to_numpy(), kind="stable")
+        ids = block.column("id").to_numpy()[order]
+        raw, signed = (block.column(n).to_pylist() for n in ("members", "signature"))
+        sets = [np.frombuffer(raw[i], np.uint64) for i in order.tolist()]
+        minima = np.stack([np.frombuffer(signed[i], "<u4") for i in order.tolist()])
+        sizes = np.array([len(s) for s in sets])
+        _, numbers = np.unique(np.concatenate(sets), return_inverse=True)
+        numbers = np.split(numbers, np.cumsum(sizes)[:-1])
+        marked = np.zeros(int(sizes.sum()), bool)
+        part = np.arange(len(ids))
+        for centre in range(len(ids)):
+            others = np.flatnonzero(part != part[centre])
+            # Pairs with a smaller centre have been compared, or were of one component.
+            others = others[others > centre]
+            if not len(others):
+                continue
+            alike = (minima[others] == minima[centre]).mean(1)
+            others = others[alike + SLACK >= percent / 100]
+            if not len(others):
+                continue
+            marked[numbers[centre]] = True
+            firsts = np.cumsum(sizes[others]) - sizes[others]
+            held = marked[np.concatenate([numbers[i] for i in others.tolist()])]
+            common = np.add.reduceat(held, firsts, dtype=np.int64)
+            marked[numbers[centre]] = False
+            linked = 100 * common >= percent * (sizes[centre] + sizes[others] - common)
+            for other in np.unique(part[others[linked]]).tolist():
+                low, high = sorted((part[centre], other))
+                part[part == high] = low
+        tied = ids != ids[part]
+        return pa.table({"a": pa.array(ids[tied]), "b": pa.array(ids[part][tied])})
+
+    return settled
+
+
 class _Groups:
     """Links between classes, worked off bucket by bucket."""
 
@@ -193,32 +242,55 @@ class _Groups:
         return found.groupBy("a", "b").agg(F.max("highest").alias("highest"), F.max("linked").alias("linked"))
 
     def components(self) -> DataFrame:
-        """(id, component) of all classes that are linked with another."""
+        """(node, component) of all classes that are linked with a smaller one."""
         scratch = self.scratch
         spread = self.classes.select("id", F.explode("bands").alias("bucket"))
         shared = spread.groupBy("bucket").agg(F.count("*").alias("n"), F.min("id").alias("first")).where("n > 1")
         members = scratch.keep(spread.join(shared.select("bucket", "first"), "bucket"), "members")
-        ids = scratch.keep(members.select("id").distinct(), "ids")
-        near = F.broadcast(ids) if ids.count() <= MAX_SENT_IDS else ids
-        chosen = self.docs.join(near, self.docs.doc_id == near.id, "left_semi")
-        self.sets = scratch.keep(
-            chosen.mapInArrow(_full(self.n), "id long, signature binary, members binary"), "sets"
+        ties = members.select(F.col("id").alias("a"), F.col("first").alias("b"))
+        blocks = connected(ties, scratch)
+        named = scratch.keep(
+            blocks.select(F.col("node").alias("id"), F.col("component").alias("block"))
+            .unionByName(blocks.select(F.col("component").alias("id"), F.col("component").alias("block")).distinct()),
+            "blocks",
         )
-        pairs = (
-            members.where("id > first").groupBy(F.col("id").alias("a")).agg(F.min("first").alias("b"))
+        near = F.broadcast(named) if named.count() <= MAX_SENT_IDS else named
+        chosen = self.docs.join(near.select("id"), self.docs.doc_id == F.col("id"), "left_semi")
+        self.sets = scratch.keep(
+            chosen.mapInArrow(_full(self.n), "id long, signature binary, members binary").join(near, "id"), "sets"
         )
+        length = F.octet_length("members").cast("long")
+        sizes = self.sets.groupBy("block").agg(F.count("*").alias("n"), F.sum(length).alias("bytes"))
+        fits = (F.col("n") * F.col("bytes") / 8 <= MAX_WORK) & (F.col("bytes") <= MAX_BYTES)
+        large = scratch.keep(sizes.where(~fits).select("block"), "large")
+        small = self.sets.join(large, "block", "left_anti")
+        stars = scratch.keep(
+            small.groupBy("block").applyInArrow(_settled(self.percent), "a long, b long"), "settled"
+        ).select(F.col("a").alias("node"), F.col("b").alias("component"))
+        if large.isEmpty():
+            return stars
+        inside = named.join(large, "block", "left_semi").select("id")
+        return stars.unionByName(self._in_rounds(members.join(inside, "id", "left_semi")))
+
+    def _in_rounds(self, members: DataFrame) -> DataFrame:
+        """Components of the members (bucket, id, first) of large blocks."""
+        scratch = self.scratch
+        pairs = members.where("id > first").groupBy(F.col("id").alias("a")).agg(F.min("first").alias("b"))
         tested = scratch.keep(self._verify(pairs), "tested")
         stars = connected(tested.where("linked").select("a", "b"), scratch)
         members = members.select("bucket", "id")
+        first = Window.partitionBy("bucket").orderBy("n", "centre")
         while True:
             named = members.join(stars.withColumnRenamed("node", "id"), "id", "left").select(
                 "bucket", "id", F.coalesce("component", "id").alias("component")
             )
-            # The centre is the smallest id of the bucket's smallest component, so that small ones go first.
+            # Centres are the smallest ids of the bucket's smallest components, so that small ones go first.
             parts = named.groupBy("bucket", "component").agg(F.count("*").alias("n"), F.min("id").alias("centre"))
-            centres = parts.groupBy("bucket").agg(
-                F.count("*").alias("parts"), F.min(F.struct("n", "centre", "component")).alias("least")
-            ).where("parts > 1").select("bucket", "least.centre", F.col("least.component").alias("own"))
+            several = parts.groupBy("bucket").agg(F.count("*").alias("parts")).where("parts > 1").select("bucket")
+            centres = (
+                parts.join(several, "bucket").withColumn("place", F.row_number().over(first))
+                .where(F.col("place") <= CENTRES).select("bucket", "centre", F.col("component").alias("own"))
+            )
             todo = scratch.keep(named.join(centres, "bucket"), "todo")
             if todo.isEmpty():
                 return stars
@@ -239,16 +311,21 @@ class _Groups:
         """Members that may still be linked to one of another component of their bucket."""
         pair = [F.greatest("id", "centre").alias("a"), F.least("id", "centre").alias("b")]
         judged = (
-            todo.where("id != centre").select("bucket", "id", "component", "own", *pair)
+            todo.select("bucket", "id", "centre", "component", "own", *pair)
             .join(tested, ["a", "b"], "left")
             .withColumn("compared", F.col("component") != F.col("own"))
         )
         outside = F.col("compared") & ~F.col("linked")
-        nearest = judged.where(outside).groupBy("bucket").agg(F.min(1 - F.col("highest")).alias("nearest"))
+        nearest = judged.where(outside).groupBy("bucket", "centre").agg(F.min(1 - F.col("highest")).alias("nearest"))
         safe = F.col("compared") & F.col("linked") & (
             F.col("nearest").isNull() | (1 - F.col("highest") + (1 - self.limit) < F.col("nearest") - 1e-9)
         )
-        return judged.join(nearest, "bucket", "left").where(~F.coalesce(safe, F.lit(False))).select("bucket", "id")
+        leaves = (F.col("id") == F.col("centre")) | F.coalesce(safe, F.lit(False))
+        return (
+            judged.join(nearest, ["bucket", "centre"], "left")
+            .groupBy("bucket", "id").agg(F.max(leaves).alias("leaves"))
+            .where("not leaves").select("bucket", "id")
+        )
 
 
 def near_duplicates(docs: DataFrame, n: int = SHINGLE_WORDS, percent: int = SIMILAR_PERCENT) -> DataFrame:
