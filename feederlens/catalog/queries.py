@@ -47,9 +47,8 @@ class Grid:
         return project(self.table(PROJECTIONS[name][0]), name)
 
     def named(self, table: str) -> DataFrame:
-        """An export with its nameless rows rejected."""
-        key = S.EXPORT_KEYS[table]
-        return C.require_key(C.trim_keys(self.projected(EXPORTS[table]), [key]), key)
+        """Base silver of an export: copies, nameless rows and text that is no number are out."""
+        return silver.clean_export(self.projected(EXPORTS[table]), table)
 
     @cached_property
     def std_voltages(self):
@@ -125,19 +124,19 @@ class Grid:
         }
 
     def audited(self, *names: str) -> dict[str, DataFrame]:
-        """Analytics and BI tables; counting needs no ranks, so none are computed."""
+        """Analytics and BI tables, each as its mart or extract builds it."""
         builders = {
-            "voltage_performance": lambda: self.voltage,
+            "voltage_performance": lambda: marts.voltage_performance(self.voltage),
             "voltage_deterioration": lambda: self.deterioration,
-            "asset_demand": lambda: marts.asset_demand_rows(self.power, SETTINGS),
-            "pump_demand": lambda: self.pumps,
-            "pump_demand_contribution": lambda: self.pumps,
+            "asset_demand": lambda: marts.asset_demand(self.power, SETTINGS),
+            "pump_demand": lambda: marts.pump_demand(self.power, SETTINGS),
+            "pump_demand_contribution": lambda: self.contribution,
             "pump_demand_kpi": lambda: marts.pump_demand_kpi(self.pumps),
             "transformer_performance": lambda: self.transformers,
-            "voltage_unbalance_hotspots": lambda: self.unbalance,
+            "voltage_unbalance_hotspots": lambda: marts.voltage_unbalance_hotspots(self.unbalance),
             "management_kpi_summary": lambda: self.kpi,
             "powerbi_network_health": lambda: extracts.network_health(*self.profile),
-            "powerbi_pump_demand": lambda: self.pumps,
+            "powerbi_pump_demand": lambda: extracts.pump_demand(self.contribution),
             "powerbi_asset_performance": lambda: extracts.asset_performance(self.summary),
             "powerbi_kpi_summary": lambda: extracts.kpi_summary(self.kpi),
             "powerbi_priority_locations": lambda: extracts.priority_locations(
@@ -410,7 +409,7 @@ _BY_NAME: dict[str, Callable[[Grid], DataFrame]] = {
     "report_q3_assets": lambda g: reports.asset_demand_report(
         marts.asset_demand(g.power, SETTINGS)
     ),
-    "topn_assets": lambda g: reports.top_assets(marts.asset_demand(g.power, SETTINGS), SETTINGS),
+    "topn_assets": lambda g: reports.top_assets(marts.asset_demand_rows(g.power, SETTINGS), SETTINGS),
     "report_q4_deterioration": lambda g: reports.downstream_deterioration(g.deterioration),
     "report_q5_transformers": lambda g: reports.transformer_capacity(g.transformers),
     "report_q6_hotspots": lambda g: reports.unbalance_hotspots(

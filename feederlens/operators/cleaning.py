@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import re
-from collections import Counter
-from collections.abc import Iterable
+from collections import Counter, defaultdict
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StringType
@@ -133,14 +133,32 @@ def with_limit_flags(df: DataFrame) -> DataFrame:
 
 
 def resolve(df: DataFrame, candidates: Iterable[str]) -> str:
-    """Name of the first candidate the frame has, ignoring case, blanks and underscores."""
-    candidates = list(candidates)
-    known = {_loose(c): c for c in df.columns}
-    for candidate in candidates:
-        if _loose(candidate) in known:
-            return known[_loose(candidate)]
-    raise KeyError(f"none of {candidates} among the columns {df.columns}")
+    """The column meant by the first candidate there is; see ``resolve_all``."""
+    [found] = resolve_all(df, {"": candidates}).values()
+    return found
 
 
-def _loose(name: str) -> str:
-    return re.sub(r"[ _]", "", name.strip().lower())
+def resolve_all(df: DataFrame, wanted: Mapping[str, Iterable[str]]) -> dict[str, str]:
+    """The frame's column for each wanted name, from the spellings it may have.
+
+    Case, blanks and underscores do not count; earlier spellings go first. One
+    error names all that is missing or could mean several columns.
+    """
+    folded = defaultdict(list)
+    for column in df.columns:
+        folded[_fold(column)].append(column)
+    found, faults = {}, []
+    for name, spellings in wanted.items():
+        spellings = list(spellings)
+        hits = next(filter(None, (folded.get(_fold(s)) for s in spellings)), [])
+        if len(hits) == 1:
+            found[name] = hits[0]
+        else:
+            faults.append(f"{spellings}: {'one of ' + str(hits) if hits else 'missing'}")
+    if faults:
+        raise KeyError(f"{'; '.join(faults)} (columns: {df.columns})")
+    return found
+
+
+def _fold(name: str) -> str:
+    return name.translate({ord(" "): None, ord("_"): None}).strip().casefold()

@@ -67,15 +67,15 @@ def ordered_totals(
 
     ties = list(ties)
     columns = df.columns
-    cuts, copies = _cut_points(df, _key(measure, descending, ties), slots, total)
+    cuts, copies = _cut_points(df, _key(measure, descending, ties), slots, total, descending)
     if copies:
         # Rows equal in the whole order key fill more than a slot. Any order
         # among them will do, but it must not change: number and store them.
         ties.append("_copy")
         df = df.withColumn("_copy", F.monotonically_increasing_id()).checkpoint()
-        cuts, _ = _cut_points(df, _key(measure, descending, ties), slots, total)
+        cuts, _ = _cut_points(df, _key(measure, descending, ties), slots, total, descending)
 
-    slotted = _with_slot(df, _key(measure, descending, ties), cuts)
+    slotted = _with_slot(df, _key(measure, descending, ties), cuts, descending)
     before = Window.orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
     # One row per slot.
     offsets = (
@@ -130,26 +130,35 @@ def _order(measure, descending, ties):
 
 
 def _key(measure, descending, ties) -> Column:
-    """The order as one struct that compares ascending."""
+    """What the order compares, raw: where NULL goes, the value, and the ties."""
     value = F.col(measure)
-    # As Spark sorts: NaN is above every number, wherever NULL goes.
-    if descending:
-        group = F.when(value.isNull(), 2).when(F.isnan(value), 0).otherwise(1)
-    else:
-        group = F.when(value.isNull(), 0).otherwise(1)
     return F.struct(
-        group.alias("group"),
-        (-value if descending else value).alias("value"),
-        *[F.col(t).alias(f"tie{i}") for i, t in enumerate(ties)],
+        F.when(value.isNull(), 2 if descending else 0).otherwise(1).alias("group"),
+        value.alias("value"),
+        F.struct(F.lit(0).alias("none"), *[F.col(t).alias(f"tie{i}") for i, t in enumerate(ties)]).alias("ties"),
     )
 
 
-def _cut_points(df, key, slots, total) -> tuple[list, bool]:
+def _behind(one: Column, other: Column, descending: bool, or_equal: bool) -> Column:
+    """Whether one key comes after another; values compare as Spark sorts them, NaN above all numbers."""
+    value = one["value"] < other["value"] if descending else one["value"] > other["value"]
+    ties = one["ties"] >= other["ties"] if or_equal else one["ties"] > other["ties"]
+    same = one["value"].eqNullSafe(other["value"])
+    inside = F.coalesce(value, F.lit(False)) | (same & ties)
+    return (one["group"] > other["group"]) | ((one["group"] == other["group"]) & inside)
+
+
+def _cut_points(df, key, slots, total, descending=False) -> tuple[list, bool]:
     """Sorted cut points between slots, and whether one key alone fills a slot."""
     wanted = slots * SAMPLE_PER_SLOT
     keys = df.sample(min(1.0, wanted / total), seed=7).select(key.alias("k"))
+
+    def in_order(one, other):
+        after = _behind(one, other, descending, or_equal=False)
+        return F.when(after, 1).when(_behind(other, one, descending, or_equal=False), -1).otherwise(0)
+
     [found] = (
-        keys.agg(F.sort_array(F.collect_list("k")).alias("s"))
+        keys.agg(F.array_sort(F.collect_list("k"), in_order).alias("s"))
         .select(
             F.size("s").alias("n"),
             F.transform(
@@ -164,7 +173,7 @@ def _cut_points(df, key, slots, total) -> tuple[list, bool]:
     return distinct, len(distinct) < len(cuts) and found["n"] >= wanted // 2
 
 
-def _with_slot(df, key, cuts) -> DataFrame:
+def _with_slot(df, key, cuts, descending=False) -> DataFrame:
     """Number of cut points at or below the key, by binary search."""
     keyed = df.withColumn("_key", key)
     points = StructType([StructField("cuts", ArrayType(keyed.schema["_key"].dataType))])
@@ -174,6 +183,6 @@ def _with_slot(df, key, cuts) -> DataFrame:
         step = 1 << bit
         # Past the end F.get is NULL and the step is not taken.
         ahead = F.get("_cuts", F.col("_slot") + (step - 1))
-        onward = F.when(F.col("_key") >= ahead, step).otherwise(0)
+        onward = F.when(_behind(F.col("_key"), ahead, descending, or_equal=True), step).otherwise(0)
         keyed = keyed.withColumn("_slot", F.col("_slot") + onward)
     return keyed.drop("_key", "_cuts")

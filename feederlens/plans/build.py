@@ -140,8 +140,9 @@ def run_exports(
     files: Mapping[str, str],
     settings: S.GridSettings = S.DEFAULTS,
     fmt: str = "parquet",
+    multiline: bool = False,
 ) -> dict[str, DataFrame]:
-    """The whole way from four CSV exports."""
-    raw = read_exports(spark, base, files)
+    """The whole way from four CSV exports; ``multiline`` as in ``read_export``."""
+    raw = read_exports(spark, base, files, multiline)
     one_file = {name for name, df in raw.items() if len(df.inputFiles()) == 1}
     return run(spark, raw, settings, fmt, one_file)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from feederlens.functions.bands import first_match
 from feederlens.operators.joins import left_star
@@ -141,10 +141,15 @@ def asset_demand_report(demand: DataFrame) -> DataFrame:
     )
 
 
-def top_assets(demand: DataFrame, settings: S.GridSettings = S.DEFAULTS) -> DataFrame:
-    """Q3: the network assets with the highest apparent power."""
-    order = [_high("apparent_power_kva"), _low("element_name")]
-    return show(demand, order, _DEMAND).limit(settings.top_assets)
+def top_assets(rows: DataFrame, settings: S.GridSettings = S.DEFAULTS) -> DataFrame:
+    """Q3: the network assets with the highest apparent power, taken first and then numbered."""
+    order = [
+        _high("apparent_power_kva"), _low("element_name"), _low("active_power_kw"), _low("reactive_power_kvar")
+    ]
+    top = rows.orderBy(*order).limit(settings.top_assets)
+    # At most the few rows of the report.
+    rank = F.row_number().over(Window.orderBy(*order)).cast("bigint")
+    return show(top.withColumn("demand_rank", rank), [F.col("demand_rank")], _DEMAND)
 
 
 def downstream_deterioration(deterioration: DataFrame) -> DataFrame:

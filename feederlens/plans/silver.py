@@ -30,9 +30,10 @@ def standardize(df: DataFrame, table: str) -> DataFrame:
         "terminal": N.to_terminal,
     }
 
-    def column(name, kind, spellings):
-        found = C.resolve(df, spellings)
-        return convert[kind](C.quoted(found), types[found]).alias(name)
+    found = C.resolve_all(df, {name: spellings for name, _, spellings in S.STANDARD_COLUMNS[table]})
+
+    def column(name, kind, _):
+        return convert[kind](C.quoted(found[name]), types[found[name]]).alias(name)
 
     lineage = [c for c in S.LINEAGE if c in types]
     return df.select(*[column(*spec) for spec in S.STANDARD_COLUMNS[table]], *lineage)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from feederlens.operators import cleaning as C
 
@@ -12,23 +13,43 @@ from feederlens.operators import cleaning as C
 MAX_BROADCAST_BLOCKS = 200_000
 
 
+_CSV = {"encoding": "ISO-8859-1", "escape": '"'}
+
+
 def read_export(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
     """Read a latin-1 CSV export with a header row; every column is text.
 
+    Quotes inside quoted cells are doubled. Rows with fewer cells than the
+    header end in missing values; a row with more cells, and a file whose
+    header differs from the others', is an error when the rows are read.
     ``multiline`` allows line breaks inside quoted cells, at the price of one
     task per file.
     """
-    return (
-        spark.read.option("header", True)
-        .option("encoding", "ISO-8859-1")
-        .option("multiLine", multiline)
-        .csv(path)
+    reader = spark.read.options(**_CSV).option("header", True).option("multiLine", multiline)
+    columns, bad = reader.csv(path).columns, "_malformed"
+    # The header as it stands; Spark names blank and repeated cells anew, and cannot check repeated ones.
+    header = [cell or "" for cell in reader.option("header", False).csv(path).first()]
+    checked = len({cell.lower() for cell in header}) == len(header) == len(columns)
+    fields = [StructField(c, StringType()) for c in [*(header if checked else columns), bad]]
+    rows = (
+        reader.option("header", True).option("enforceSchema", not checked)
+        .option("columnNameOfCorruptRecord", bad).schema(StructType(fields)).csv(path).toDF(*columns, bad)
     )
+    # Parsed again with room for one cell more, to tell long rows from short ones.
+    wider = ", ".join(f"c{i} string" for i in range(len(columns) + 1))
+    long = F.col(bad).isNotNull() & F.from_csv(bad, wider, {"escape": '"', "multiLine": "true"})[f"c{len(columns)}"].isNotNull()
+    error = F.raise_error(F.concat(F.lit("more cells than the header has: "), F.col(bad)))
+    first = F.when(long, error).otherwise(C.quoted(columns[0]))
+    return rows.select(first.alias(columns[0]), *[C.quoted(c) for c in columns[1:]])
 
 
-def read_exports(spark: SparkSession, base: str, files: Mapping[str, str]) -> dict[str, DataFrame]:
+def read_exports(
+    spark: SparkSession, base: str, files: Mapping[str, str], multiline: bool = False
+) -> dict[str, DataFrame]:
     """Read a named set of exports into raw tables with lineage."""
-    return {name: raw_table(read_export(spark, f"{base}/{file}")) for name, file in files.items()}
+    return {
+        name: raw_table(read_export(spark, f"{base}/{file}", multiline)) for name, file in files.items()
+    }
 
 
 def raw_table(export: DataFrame) -> DataFrame:

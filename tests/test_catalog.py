@@ -6,9 +6,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from feederlens.catalog import oracle, queries as registered
+from feederlens.plans import gold, marts, silver
 
 SF = "/root/testdata/sf0.001"
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+QUERIES, SQL = registered.queries(), oracle.oracle_sql()
 TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "boolean": "BOOLEAN"}
 
 pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="no test data")
@@ -54,7 +56,11 @@ def test_top_n_does_not_sort_everything(spark, name):
 
 
 def test_asset_summary_shuffles_each_side_once(spark):
-    plan = executed(QUERIES["gold_asset_summary"](spark, SF))
+    # Without base silver, whose removal of copies shuffles once more.
+    grid = registered.Grid(spark, SF)
+    currents, powers = (grid.projected(registered.EXPORTS[t]) for t in ("seqcurrents", "seqpowers"))
+    loading = gold.asset_loading(silver.seqcurrents_standardized(currents))
+    plan = executed(gold.asset_summary(loading, gold.power_flow(silver.seqpowers_standardized(powers))))
     assert plan.count("Exchange hashpartitioning(element_name") == 2
     assert plan.count("Exchange") - plan.count("BroadcastExchange") == 2
 
@@ -65,5 +71,20 @@ def test_scans_read_only_what_they_need(spark):
     assert "p_partkey" in read and "p_retailprice" in read and "p_name" not in read
 
 
-def test_counting_audits_do_not_rank(spark):
-    assert "Window" not in executed(QUERIES["audit_row_counts"](spark, SF))
+def test_contract_has_all_queries():
+    assert set(QUERIES) <= set(contract.queries()) and set(SQL) <= set(contract.oracle_sql())
+
+
+def test_top_assets_are_numbered_after_the_limit(spark):
+    plan = QUERIES["topn_assets"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Window") < plan.index("GlobalLimit")
+    assert plan.count("Window") == 1
+
+
+def test_audit_counts_the_mart_it_names(spark, monkeypatch):
+    before = {r["table_name"]: r for r in QUERIES["audit_row_counts"](spark, SF).collect()}
+    ranked = marts.voltage_performance
+    monkeypatch.setattr(marts, "voltage_performance", lambda *a, **k: ranked(*a, **k).limit(3))
+    after = {r["table_name"]: r for r in QUERIES["audit_row_counts"](spark, SF).collect()}
+    assert [t for t in before if before[t] != after[t]] == ["voltage_performance"]
+    assert 3 in after["voltage_performance"].asDict().values()

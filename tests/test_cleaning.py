@@ -120,3 +120,10 @@ def test_resolve_takes_the_first_candidate_present(spark):
     assert C.resolve(df, ["%I2/I1", "PercentI2_I1"]) == "PercentI2_I1"
     with pytest.raises(KeyError, match="Base_kV"):
         C.resolve(df, ["Magnitude1"])
+
+
+def test_resolve_refuses_what_could_be_two_columns(spark):
+    df = spark.createDataFrame([(1, 2, 3)], ["V_1", "V1", "Bus"])
+    with pytest.raises(KeyError, match="one of .*V_1.*missing"):
+        C.resolve_all(df, {"v1": ["V1"], "bus": ["bus"], "v2": ["V2"]})
+    assert C.resolve_all(df, {"bus": ["BUS "]}) == {"bus": "Bus"}

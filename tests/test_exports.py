@@ -100,3 +100,26 @@ def test_tables_bucketed_alike_join_without_a_shuffle(spark):
     joined = left.hint("merge").join(right, "k", "left")
     assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
     assert joined.count() == 100
+
+
+def test_quotes_and_line_breaks_inside_cells(spark, tmp_path):
+    (tmp_path / "q.csv").write_bytes(b'Bus,V1,V2\n"say ""hi"", ok",1,2\n"two\nlines",3,4\n')
+    found = [tuple(r) for r in X.read_export(spark, str(tmp_path / "q.csv"), multiline=True).collect()]
+    assert found == [('say "hi", ok', "1", "2"), ("two\nlines", "3", "4")]
+
+
+def test_short_rows_end_in_missing_cells(spark, tmp_path):
+    (tmp_path / "s.csv").write_bytes(b"Bus,V1,V2\nA,1\nB,2,3\n")
+    found = [tuple(r) for r in X.read_export(spark, str(tmp_path / "s.csv")).collect()]
+    assert found == [("A", "1", None), ("B", "2", "3")]
+
+
+@pytest.mark.parametrize("files", [
+    {"long.csv": b"Bus,V1,V2\nA,1,2\nB,3,4,5\n"},
+    {"a.csv": b"Bus,V1,V2\nA,1,2\n", "b.csv": b"Bus,V2,V1\nB,3,4\n"},
+])
+def test_what_does_not_fit_the_header_is_an_error(spark, tmp_path, files):
+    for name, content in files.items():
+        (tmp_path / name).write_bytes(content)
+    with pytest.raises(Exception, match="more cells|header"):
+        X.read_export(spark, str(tmp_path)).collect()

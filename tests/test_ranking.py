@@ -1,7 +1,9 @@
 import random
+from datetime import date, datetime
+from decimal import Decimal
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from feederlens.operators import ranking as R
 
@@ -131,3 +133,28 @@ def test_the_largest_number_of_slots(spark):
     plain = R.global_rank(df, "x", "p", descending=True, ties=["id"], slots=1)
     assert ranked.join(plain, "id").filter("r != p").count() == 0
     assert ranked.count() == 400_000
+
+
+TYPED = {
+    "text": ("string", ["b", "a", None, "10", "9", "", "é"]),
+    "date": ("date", [date(2020, 1, 2), None, date(1999, 5, 5), date(2020, 1, 3)]),
+    "time": ("timestamp", [datetime(2020, 1, 2, 3), None, datetime(1999, 5, 5), datetime(2020, 1, 2, 4)]),
+    "flag": ("boolean", [True, None, False]),
+    "exact": ("decimal(12,2)", [Decimal("1.50"), None, Decimal("-3.25"), Decimal("1.49")]),
+    "whole": ("bigint", [-(1 << 63), None, 5, (1 << 63) - 1, -1]),
+    "real": ("double", [float("nan"), None, 1.5, float("-inf"), -0.0]),
+}
+
+
+@pytest.mark.parametrize("descending", [False, True])
+@pytest.mark.parametrize("kind", TYPED)
+def test_every_type_ranks_as_the_plain_window(spark, kind, descending):
+    of, values = TYPED[kind]
+    data = [(values[i * i % len(values)], i) for i in range(3000)]
+    df = spark.createDataFrame(data, f"m {of}, id bigint")
+    order = F.col("m").desc_nulls_last() if descending else F.col("m").asc_nulls_first()
+    plain = df.withColumn("r", F.row_number().over(Window.orderBy(order, "id")).cast("bigint"))
+    for slots in (1, 5):
+        ranked = R.global_rank(df, "m", "r", descending, ["id"], slots=slots)
+        assert ranked.select("id", "r").exceptAll(plain.select("id", "r")).isEmpty()
+        assert ranked.count() == 3000
