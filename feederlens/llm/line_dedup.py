@@ -34,6 +34,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from feederlens.llm import grams
 from feederlens.llm.cuckoo import CuckooFilter
 from feederlens.llm.scratch import Scratch, shuffle_partitions
 
@@ -89,7 +90,7 @@ def _line_keys(docs: DataFrame, shards: int, filters: dict[int, bytes] | None =
 
     if filters is not None:
         shared = docs.sparkSession.sparkContext.broadcast(filters)
-    return docs.select("doc_id", "text").mapInArrow(keyed, "doc_id long, key binary, shard int")
+    return docs.select("doc_id", "text").mapInArrow(grams.tidied(keyed), "doc_id long, key binary, shard int")
 
 
 def _by_shard(places: list[int]) -> Iterator[tuple[int, np.ndarray]]:
@@ -216,7 +217,7 @@ class LineIndex:
         row = docs.select(F.struct("*").alias("row"), "doc_id", "text")
         joined = row.join(lost, F.col("doc_id").eqNullSafe(F.col("lost_id")), "left").select("row", "text", "keys")
         schema = docs.select(F.struct("*").alias("row"), "text", F.lit(0).cast("long").alias("n_lines"), F.lit(0).cast("long").alias("n_dropped")).schema
-        cleaned = joined.mapInArrow(_without, schema)
+        cleaned = joined.mapInArrow(grams.tidied(_without), schema)
         return cleaned.select(
             *(F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns),
             "n_lines", "n_dropped",

@@ -223,7 +223,7 @@ class _Groups:
         self.docs = docs.select("doc_id", "text")
         self.scratch = Scratch(docs.sparkSession)
         self.signed = self.scratch.keep(
-            self.docs.mapInArrow(_signed(n), "doc_id long, n_shingles long, set_key binary, bands array<long>"),
+            self.docs.mapInArrow(grams.tidied(_signed(n)), "doc_id long, n_shingles long, set_key binary, bands array<long>"),
             "signed",
         )
         known = self.signed.where("doc_id is not null and set_key is not null")
@@ -236,7 +236,7 @@ class _Groups:
         one = self.sets.select(F.col("id").alias("a"), F.col("signature").alias("sig_a"), F.col("members").alias("set_a"))
         other = self.sets.select(F.col("id").alias("b"), F.col("signature").alias("sig_b"), F.col("members").alias("set_b"))
         found = pairs.join(one, "a").join(other, "b").mapInArrow(
-            _compared(self.percent), "a long, b long, highest double, linked boolean"
+            grams.tidied(_compared(self.percent)), "a long, b long, highest double, linked boolean"
         )
         # Several rows of one doc_id: the most alike texts count.
         return found.groupBy("a", "b").agg(F.max("highest").alias("highest"), F.max("linked").alias("linked"))
@@ -257,7 +257,7 @@ class _Groups:
         near = F.broadcast(named) if named.count() <= MAX_SENT_IDS else named
         chosen = self.docs.join(near.select("id"), self.docs.doc_id == F.col("id"), "left_semi")
         self.sets = scratch.keep(
-            chosen.mapInArrow(_full(self.n), "id long, signature binary, members binary").join(near, "id"), "sets"
+            chosen.mapInArrow(grams.tidied(_full(self.n)), "id long, signature binary, members binary").join(near, "id"), "sets"
         )
         length = F.octet_length("members").cast("long")
         sizes = self.sets.groupBy("block").agg(F.count("*").alias("n"), F.sum(length).alias("bytes"))

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from feederlens.llm import tokens
+from feederlens.llm import grams, tokens
 
 WINDOW = 2048
 END_ID = 1
@@ -189,7 +189,7 @@ def pack(docs: DataFrame, size: int = WINDOW, name: str = tokens.BYTE_BPE, with_
         if rows:
             yield _batch(rows, with_ids)
 
-    return docs.select("doc_id", "text").mapInArrow(packed, schema)
+    return docs.select("doc_id", "text").mapInArrow(grams.tidied(packed), schema)
 
 
 def _batch(rows: list[tuple], with_ids: bool) -> pa.RecordBatch:

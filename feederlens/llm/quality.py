@@ -127,7 +127,7 @@ def measure(docs: DataFrame) -> DataFrame:
     names = [x.split()[0] for x in MEASURES.split(", ")]
     docs = docs.drop(*names)
     schema = docs.limit(0).select("*", *(F.lit(None).cast(x.split()[1]).alias(x.split()[0]) for x in MEASURES.split(", "))).schema
-    return docs.mapInArrow(_measured, schema)
+    return docs.mapInArrow(grams.tidied(_measured), schema)
 
 
 def base_failed() -> Column:
