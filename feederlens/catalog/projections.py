@@ -3,7 +3,8 @@
 Buses come from ``customer`` and element terminals from ``part``. Every source
 row gives its export rows; a blank name, which cleaning rejects, stands for a
 bus without sequence values or an element without power. The expressions mean
-the same in Spark SQL and in the SQL of the check.
+the same in Spark SQL and in the SQL of the check. Every tenth part comes twice
+with the same values, for the removal of copies.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ def _magnitude(low: str, missing: str) -> str:
     return f"CASE WHEN {missing} THEN NULL ELSE {_PHASE} * ({low} + 0.2e0 * ({_SHARE})) END"
 
 
-# Source table, then (expression, column) pairs. "part" rows come once per terminal.
+# Source table, then (expression, column) pairs. "part" rows come once per terminal and copy.
 PROJECTIONS = {
     "g_voltages": ("customer", [
         ("c_custkey", "source_row_id"),
@@ -54,7 +55,7 @@ PROJECTIONS = {
         ("(c_acctbal + 1000) / 8000", "PercentNEMA"),
     ]),
     "g_currents": ("part", [
-        ("p_partkey * 2 + terminal", "source_row_id"),
+        ("p_partkey * 4 + terminal + copy * 2", "source_row_id"),
         (_ELEMENT, "Element"),
         ("terminal", "Terminal"),
         ("p_retailprice / 10 + terminal", "I1"),
@@ -67,7 +68,7 @@ PROJECTIONS = {
         ("p_size * 0.2e0", "PercentNEMA"),
     ]),
     "g_powers": ("part", [
-        ("p_partkey * 2 + terminal", "source_row_id"),
+        ("p_partkey * 4 + terminal + copy * 2", "source_row_id"),
         (f"CASE WHEN p_partkey % 13 = 0 THEN '  ' ELSE {_ELEMENT} END", "Element"),
         ("terminal", "Terminal"),
         (
@@ -103,12 +104,16 @@ def project(df: DataFrame, name: str) -> DataFrame:
     source, columns = PROJECTIONS[name]
     if source == "part":
         df = df.withColumn("terminal", F.explode(F.array(F.lit(1), F.lit(2))))
+        df = df.withColumn("copy", F.explode(F.expr("IF(p_partkey % 10 = 0, array(0, 1), array(0))")))
     return df.selectExpr(*[f"{expression} AS `{column}`" for expression, column in columns])
 
 
 def projection_sql(name: str) -> str:
     source, columns = PROJECTIONS[name]
     if source == "part":
-        source = "(SELECT *, unnest([1, 2]) AS terminal FROM part) AS ends"
+        source = (
+            "(SELECT *, unnest(if(p_partkey % 10 = 0, [0, 1], [0])) AS copy"
+            " FROM (SELECT *, unnest([1, 2]) AS terminal FROM part)) AS ends"
+        )
     picked = ", ".join(f'{expression} AS "{column}"' for expression, column in columns)
     return f"SELECT {picked} FROM {source}"

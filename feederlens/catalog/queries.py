@@ -15,6 +15,7 @@ from feederlens.operators.joins import with_values
 from feederlens.operators.ranking import global_rank, ordered_totals
 from feederlens.operators.shares import share_of_total
 from feederlens.plans import audits, extracts, gold, marts, reports, silver
+from feederlens.sources.exports import with_lineage
 from feederlens import settings as S
 
 SETTINGS = replace(S.DEFAULTS, reference_bus=REFERENCE_BUS)
@@ -191,6 +192,29 @@ def clean_require_key(g: Grid) -> DataFrame:
     return C.require_key(dirty, "raw_key")
 
 
+def lineage_rows(g: Grid) -> DataFrame:
+    """File and place in it of every order."""
+    return with_lineage(g.table("orders")).select("o_orderkey", "source_file", "source_row_id")
+
+
+def columns_normalized(g: Grid) -> DataFrame:
+    """Parts under headers as exports have them, cleaned; the blank header's column goes."""
+    raw = g.table("part").select(
+        F.col("p_partkey").alias(" Part Key "), F.col("p_name").alias("  "),
+        F.col("p_size").alias("Size (mm)"), F.col("p_retailprice").alias("Price/Unit %"),
+    )
+    return C.drop_unnamed(C.normalize_columns(raw))
+
+
+def columns_resolved(g: Grid) -> DataFrame:
+    """The standard power columns out of an export that uses other spellings."""
+    powers = g.projected("g_powers").select(
+        F.col("Element").alias("element"), F.col("Terminal").alias("TERMINAL"),
+        F.col("P1kW").alias("P1 (kW)"), F.col("Q1kvar").alias("q1_(KVAR)"), "source_row_id",
+    )
+    return silver.standardize(powers, "seqpowers")
+
+
 def clean_limit_flags(g: Grid) -> DataFrame:
     return C.with_limit_flags(g.projected("g_powers"))
 
@@ -286,10 +310,12 @@ def reference_value(g: Grid) -> DataFrame:
 
 def extreme_entity(g: Grid) -> DataFrame:
     """The orders with the lowest and with the highest price."""
-    price, order = F.col("o_totalprice"), F.col("o_orderkey")
-    return g.table("orders").agg(
-        P.name_of_lowest(order, price).alias("lowest_order"),
-        P.name_of_highest(order, price).alias("highest_order"),
+    orders = g.table("orders").select("o_orderkey", "o_totalprice")
+    lowest = orders.agg(
+        P.name_of_lowest(F.col("o_orderkey"), F.col("o_totalprice")).alias("lowest_order")
+    )
+    return with_values(
+        lowest, P.name_of_highest(orders, "o_orderkey", "o_totalprice", "highest_order")
     )
 
 
@@ -298,6 +324,19 @@ def rank_global(g: Grid) -> DataFrame:
     return global_rank(lines, "l_quantity", "quantity_rank", descending=True, ties=LINE_KEY)
 
 
+def rank_text(g: Grid) -> DataFrame:
+    """Parts by their type, last in the alphabet first."""
+    parts = g.table("part").select("p_partkey", "p_type")
+    return global_rank(parts, "p_type", "type_rank", descending=True, ties=["p_partkey"])
+
+
+def rank_date(g: Grid) -> DataFrame:
+    """Lines by the time of shipping, latest first."""
+    lines = g.table("lineitem").select(*LINE_KEY, "l_shipdate")
+    ranked = global_rank(lines, "l_shipdate", "shipped_rank", descending=True, ties=LINE_KEY)
+    return ranked.select(*LINE_KEY, "shipped_rank")
+
+
 def cumulative_share(g: Grid) -> DataFrame:
     """Share of the quantity in the lines up to each one, dearest first.
 
@@ -348,6 +387,9 @@ _BY_NAME: dict[str, Callable[[Grid], DataFrame]] = {
     "clean_coerce_numeric": clean_coerce_numeric,
     "clean_dedupe": clean_dedupe,
     "clean_require_key": clean_require_key,
+    "lineage_rows": lineage_rows,
+    "columns_normalized": columns_normalized,
+    "columns_resolved": columns_resolved,
     "clean_limit_flags": clean_limit_flags,
     "filter_transformers": filter_transformers,
     "filter_in_status": filter_in_status,
@@ -383,6 +425,8 @@ _BY_NAME: dict[str, Callable[[Grid], DataFrame]] = {
     "reference_value": reference_value,
     "extreme_entity": extreme_entity,
     "rank_global": rank_global,
+    "rank_text": rank_text,
+    "rank_date": rank_date,
     "cumulative_share": cumulative_share,
     "share_of_total": share_of_total_lines,
     "mart_voltage_performance": lambda g: marts.voltage_performance(g.voltage),

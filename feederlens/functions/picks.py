@@ -1,8 +1,8 @@
-"""Aggregate expressions used by marts and audits."""
+"""Aggregates used by marts and audits."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def count_where(condition: Column) -> Column:
@@ -15,6 +15,7 @@ def name_of_lowest(name: Column, measure: Column) -> Column:
     return F.min(F.when(measure.isNotNull(), F.struct(measure, name.alias("name"))))["name"]
 
 
-def name_of_highest(name: Column, measure: Column) -> Column:
-    """Name of the row with the highest measure; of equal rows, the first name."""
-    return name_of_lowest(name, -measure)
+def name_of_highest(df: DataFrame, name: str, measure: str, alias: str) -> DataFrame:
+    """One row: name of the row with the highest measure, of any type; of equal rows, the first name."""
+    highest = df.agg(F.max(measure)).scalar()
+    return df.filter(F.col(measure) == highest).agg(F.min(name).alias(alias))

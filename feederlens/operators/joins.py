@@ -6,49 +6,42 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-# Smaller left sides are joined as they are; a hot key cannot hurt them.
-SPLIT_ABOVE_ROWS = 5_000_000
-SAMPLE_ROWS = 20_000
-HOT_SHARE = 1 / 64
-SPLITS = 64
-
-
-def left_star(
-    fact: DataFrame,
-    sides: list[DataFrame],
-    key: str,
-    split_above_rows: int = SPLIT_ABOVE_ROWS,
-) -> DataFrame:
+
+def left_star(fact: DataFrame, sides: list[DataFrame], key: str) -> DataFrame:
     """Left-join every side to the fact table on one key, keeping all matches.
 
     All joins share the key, so each input is shuffled once and nothing between
-    the joins. A key that holds more than ``HOT_SHARE`` of a large fact table
-    would land in one task: its rows are spread over ``SPLITS`` parts and the
-    matching side rows are repeated for each part.
+    the joins. A key with more rows of the fact table than a shuffle partition
+    holds on average would make a task of its own: its rows are spread over as
+    many parts as it fills partitions, and the matching side rows are repeated
+    for each part. Rows without a key, which match nothing, are spread over all.
+    Which keys these are is part of the plan: counts per key, from the key
+    column alone, and no job when the plan is built.
     """
-    total = fact.count()
-    hot = _hot_keys(fact, key, total) if total > split_above_rows else []
-    on, left = [key], fact
-    if hot:
-        is_hot = F.col(key).isin([h for h in hot if h is not None])
-        # By value, so a recomputed task splits the same way. Whole-row copies
-        # stay together; dedupe() removes them earlier.
-        part = F.pmod(F.xxhash64(*fact.columns), F.lit(SPLITS)).cast("int")
-        spread = is_hot | F.col(key).isNull()
-        left = fact.withColumn("_part", F.when(spread, part).otherwise(0))
-        every = F.when(is_hot, F.sequence(F.lit(0), F.lit(SPLITS - 1)))
-        every = every.otherwise(F.array(F.lit(0)))
-        sides = [side.withColumn("_part", F.explode(every)) for side in sides]
-        on.append("_part")
-    joined = reduce(lambda rows, side: rows.join(side, on, "left"), sides, left)
-    return joined.select(*fact.columns, *[c for s in sides for c in s.columns if c not in on])
-
-
-def _hot_keys(df, key, total) -> list:
-    """Keys with more than HOT_SHARE of a row sample: at most 1 / HOT_SHARE."""
-    sampled = min(total, SAMPLE_ROWS)
-    counted = df.select(key).sample(sampled / total, seed=11).groupBy(key).count()
-    return [r[key] for r in counted.filter(F.col("count") > sampled * HOT_SHARE).collect()]
+    partitions = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hot = _hot_keys(fact, key, partitions)
+    # By value, so a recomputed task splits the same way. Whole-row copies
+    # stay together; dedupe() removes them earlier.
+    place = F.xxhash64(*fact.columns)
+    parts = F.when(F.col(key).isNull(), partitions).otherwise(F.coalesce("_parts", F.lit(1)))
+    left = (
+        fact.withColumn("_place", place).join(hot, key, "left")
+        .withColumn("_part", F.pmod("_place", parts).cast("int"))
+        .drop("_place", "_parts")
+    )
+    every = F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)).cast("int") - 1))
+    spread = [side.join(hot, key, "left").withColumn("_part", every).drop("_parts") for side in sides]
+    on = [key, "_part"]
+    joined = reduce(lambda rows, side: rows.join(side, on, "left"), spread, left)
+    return joined.select(*fact.columns, *[c for s in sides for c in s.columns if c != key])
+
+
+def _hot_keys(df: DataFrame, key: str, partitions: int) -> DataFrame:
+    """(key, _parts) of keys that fill more than a mean partition: fewer keys than partitions, so they are sent to all."""
+    counted = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_rows"))
+    mean = counted.agg((F.sum("_rows") / partitions).alias("mean")).scalar()
+    hot = counted.filter(F.col("_rows") > mean).filter(F.col("_rows") > 1)
+    return F.broadcast(hot.select(key, F.ceil(F.col("_rows") / mean).alias("_parts")))
 
 
 def with_values(df: DataFrame, one_row: DataFrame) -> DataFrame:

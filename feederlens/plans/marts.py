@@ -184,11 +184,11 @@ def deterioration_kpi(deterioration: DataFrame) -> DataFrame:
 
 def transformer_kpi(transformers: DataFrame) -> DataFrame:
     """One row: the highest loading and the transformer that has it."""
-    loading = F.col("max_normal_loading_percent")
-    return transformers.agg(
-        F.max(loading).alias("max_transformer_normal_loading_percent"),
-        P.name_of_highest(F.col("transformer_name"), loading).alias("highest_loaded_transformer"),
-    )
+    loading = "max_normal_loading_percent"
+    highest = transformers.agg(F.max(loading).alias("max_transformer_normal_loading_percent"))
+    return with_values(highest, P.name_of_highest(
+        transformers, "transformer_name", loading, "highest_loaded_transformer"
+    ))
 
 
 def unbalance_kpi(unbalance: DataFrame) -> DataFrame:

@@ -1,3 +1,4 @@
+import datetime as dt
 import math
 
 import pytest
@@ -124,11 +125,20 @@ def test_picks(spark):
         [("c", 1.0), ("a", 1.0), ("b", None), ("z", 9.0), ("y", 9.0)], "name string, x double"
     )
     name, x = F.col("name"), F.col("x")
-    picked = df.agg(
-        P.name_of_lowest(name, x), P.name_of_highest(name, x),
-        P.count_where(x > 1),
-    ).first()
-    assert tuple(picked) == ("a", "y", 2)
+    picked = df.agg(P.name_of_lowest(name, x), P.count_where(x > 1)).first()
+    assert tuple(picked) == ("a", 2)
+    assert [tuple(r) for r in P.name_of_highest(df, "name", "x", "top").collect()] == [("y",)]
+
+
+@pytest.mark.parametrize("kind,low,high", [
+    ("bigint", -(1 << 63), 5), ("bigint", -(1 << 63), -(1 << 63) + 1), ("string", "9", "a"),
+    ("date", dt.date(1, 1, 1), dt.date(2020, 1, 1)), ("boolean", False, True),
+])
+def test_highest_of_any_type(spark, kind, low, high):
+    df = spark.createDataFrame([("b", high), ("a", high), ("c", low), ("d", None)], f"name string, x {kind}")
+    assert P.name_of_highest(df, "name", "x", "top").first()["top"] == "a"
+    assert P.name_of_highest(df.where("name >= 'c'"), "name", "x", "top").first()["top"] == "c"
+    assert P.name_of_highest(df.limit(0), "name", "x", "top").first()["top"] is None
 
 
 def test_picks_over_nothing_are_null(spark):

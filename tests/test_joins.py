@@ -19,22 +19,56 @@ def star(spark):
     return fact, [first, second]
 
 
-def test_hot_keys_are_found(star):
+@pytest.mark.parametrize("partitions", [4, 50, 1000])
+def test_hot_keys_fill_more_than_a_mean_partition(star, partitions):
     fact, _ = star
-    assert "hot" in J._hot_keys(fact, "bus", 6000)
-    assert len(J._hot_keys(fact, "bus", 6000)) <= 1 / J.HOT_SHARE
+    found = {r["bus"]: r["_parts"] for r in J._hot_keys(fact, "bus", partitions).collect()}
+    counts = {r["bus"]: r["count"] for r in fact.where("bus is not null").groupBy("bus").count().collect()}
+    mean = sum(counts.values()) / partitions
+    assert set(found) == {k for k, n in counts.items() if n > max(mean, 1)}
+    assert found["hot"] >= partitions // 3 and len(found) < partitions
 
 
-def test_splitting_a_hot_key_changes_nothing(star, rows):
-    fact, sides = star
-    plain = J.left_star(fact, sides, "bus")
-    split = J.left_star(fact, sides, "bus", split_above_rows=100)
-    assert split.columns == plain.columns == ["id", "bus", "a", "b"]
-    assert "_part" in split._jdf.queryExecution().optimizedPlan().toString()
-    assert rows(split) == rows(plain)
+def test_a_key_of_one_percent_is_split_at_a_thousand_partitions(spark):
+    fact = spark.range(20_000).select(F.when(F.col("id") % 100 == 0, -1).otherwise(F.col("id")).alias("bus"))
+    assert [tuple(r) for r in J._hot_keys(fact, "bus", 1000).collect()] == [(-1, 10)]
+
+
+@pytest.mark.parametrize("partitions", ["1", "4", "60"])
+def test_splitting_a_hot_key_changes_nothing(spark, star, rows, partitions):
+    fact, (first, second) = star
+    plain = fact.join(first, "bus", "left").join(second, "bus", "left").select("id", "bus", "a", "b")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        split = J.left_star(fact, [first, second], "bus")
+        assert split.columns == plain.columns
+        assert rows(split) == rows(plain)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
     assert plain.count() > fact.count()
 
 
+def test_a_hot_key_lands_in_several_tasks(spark, star):
+    fact, sides = star
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    for key, value in {"spark.sql.shuffle.partitions": "30", "spark.sql.autoBroadcastJoinThreshold": "-1",
+                       "spark.sql.adaptive.enabled": "false"}.items():
+        spark.conf.set(key, value)
+    try:
+        joined = J.left_star(fact, sides, "bus").where("bus = 'hot'")
+        assert joined.select(F.spark_partition_id().alias("p")).distinct().count() >= 5
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_star_of_empty_tables(spark):
+    none = spark.createDataFrame([], "bus string, x int")
+    assert J.left_star(none, [none.withColumnRenamed("x", "y")], "bus").collect() == []
+
+
 def test_with_values_adds_one_row_to_every_row(spark, rows):
     df = spark.createDataFrame([(1,), (2,)], "x int")
     added = J.with_values(df, df.agg(F.sum("x").alias("t"), F.max("x").alias("m")))
