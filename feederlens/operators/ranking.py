@@ -70,7 +70,12 @@ def ordered_totals(
     cuts, copies = _cut_points(df, _key(measure, descending, ties), slots, total, descending)
     if copies:
         # Rows equal in the whole order key fill more than a slot. Any order
-        # among them will do, but it must not change: number and store them.
+        # among them will do, but it must not change: the other columns tell them apart.
+        ties.append("_hash")
+        df = df.withColumn("_hash", F.xxhash64(*columns))
+        cuts, copies = _cut_points(df, _key(measure, descending, ties), slots, total, descending)
+    if copies:
+        # So do copies of one whole row: number and store them.
         ties.append("_copy")
         df = df.withColumn("_copy", F.monotonically_increasing_id()).checkpoint()
         cuts, _ = _cut_points(df, _key(measure, descending, ties), slots, total, descending)
@@ -108,6 +113,27 @@ def ordered_totals(
     return placed.select(*kept, *[value.alias(n) for n, value in totals.items()])
 
 
+def running_by_rank(df: DataFrame, rank: str, running: Mapping[str, str]) -> DataFrame:
+    """Add running sums ``{new column: summed column}`` to rows that hold their rank, 1..n.
+
+    Slots are ranges of ranks, so nothing is counted, sampled or ordered over
+    the table: one shuffle by slot, and one row per slot for the sums before it.
+    """
+    slotted = df.withColumn("_slot", F.floor((F.col(rank) - 1) / ROWS_PER_SLOT[1]).cast("bigint"))
+    before = Window.orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        slotted.groupBy("_slot").agg(*[F.sum(c).alias(f"_sum_{n}") for n, c in running.items()])
+        .select("_slot", *[F.sum(f"_sum_{n}").over(before).alias(f"_before_{n}") for n in running])
+    )
+    inside = Window.partitionBy("_slot").orderBy(rank)
+    placed = _within(slotted, inside, None, {f"_inside_{n}": c for n, c in running.items()})
+    sums = [
+        F.coalesce(F.col(f"_inside_{n}") + F.coalesce(f"_before_{n}", F.lit(0)), f"_before_{n}").alias(n)
+        for n in running
+    ]
+    return placed.join(offsets, "_slot").select(*df.columns, *sums)
+
+
 def _slots_for(total: int, cores: int) -> int:
     """One slot per core, within the bounds on rows per slot and on slots."""
     least, most = ROWS_PER_SLOT
@@ -174,15 +200,23 @@ def _cut_points(df, key, slots, total, descending=False) -> tuple[list, bool]:
 
 
 def _with_slot(df, key, cuts, descending=False) -> DataFrame:
-    """Number of cut points at or below the key, by binary search."""
+    """Number of cut points at or below the key, by binary search.
+
+    The search is one expression: written as a column for each step, the
+    optimizer would put every step several times into the next.
+    """
     keyed = df.withColumn("_key", key)
     points = StructType([StructField("cuts", ArrayType(keyed.schema["_key"].dataType))])
     row = df.sparkSession.createDataFrame([(cuts,)], points)
-    keyed = keyed.withColumns({"_cuts": row.scalar(), "_slot": F.lit(0)})
-    for bit in reversed(range(len(cuts).bit_length())):
-        step = 1 << bit
+    steps = [F.lit(1 << bit) for bit in reversed(range(max(1, len(cuts).bit_length())))]
+
+    def onward(slot, step):
         # Past the end F.get is NULL and the step is not taken.
-        ahead = F.get("_cuts", F.col("_slot") + (step - 1))
-        onward = F.when(_behind(F.col("_key"), ahead, descending, or_equal=True), step).otherwise(0)
-        keyed = keyed.withColumn("_slot", F.col("_slot") + onward)
-    return keyed.drop("_key", "_cuts")
+        ahead = F.array(F.get("_cuts", slot + step - 1))
+        taken = F.transform(
+            ahead, lambda a: F.when(_behind(F.col("_key"), a, descending, or_equal=True), step).otherwise(0)
+        )
+        return slot + F.get(taken, F.lit(0))
+
+    keyed = keyed.withColumn("_cuts", row.scalar())
+    return keyed.withColumn("_slot", F.aggregate(F.array(*steps), F.lit(0), onward)).drop("_key", "_cuts")

@@ -7,7 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feederlens.plans import extracts, gold, marts, silver
+from feederlens.plans import audits, extracts, gold, marts, silver
 from feederlens.sources.exports import read_exports
 from feederlens.sources.tables import create_layers, save_table
 from feederlens import settings as S
@@ -134,6 +134,16 @@ def run(
     return out.tables
 
 
+def audited(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """The audits over what ``run`` stored, by name; each reads the stored tables only."""
+    return {
+        "row_counts": audits.audit_row_counts(tables),
+        "critical_nulls": audits.audit_critical_nulls(tables["management_kpi_summary"]),
+        "entities": audits.audit_entities(tables),
+        "gold": audits.audit_gold(tables),
+    }
+
+
 def run_exports(
     spark: SparkSession,
     base: str,

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from feederlens.functions import numbers as N, picks as P
 from feederlens.operators.joins import with_values
-from feederlens.operators.ranking import global_rank, ordered_totals
+from feederlens.operators.ranking import global_rank, ordered_totals, running_by_rank
 from feederlens.operators.shares import share_of_total
 from feederlens.plans import gold as G
 from feederlens import settings as S
@@ -114,11 +114,16 @@ def pump_shares(pumps: DataFrame, of: DataFrame | None = None) -> DataFrame:
 
 
 def pump_demand_contribution(pumps: DataFrame) -> DataFrame:
-    """The shares of every pump, its rank, and the cumulative share by rank."""
-    rows = pumps.select("pump_name", *POWER_COLUMNS)
-    ordered = ordered_totals(
-        rows, **PUMP_ORDER, rank="demand_rank", running={"_so_far": "apparent_power_kva"}
-    )
+    """The shares of every pump, its rank, and the cumulative share by rank.
+
+    Pumps that have their ``demand_rank`` are not ranked again.
+    """
+    rows, running = pumps.select("pump_name", *POWER_COLUMNS), {"_so_far": "apparent_power_kva"}
+    if "demand_rank" in pumps.columns:
+        ranked = pumps.select("demand_rank", *rows.columns)
+        ordered = running_by_rank(ranked, "demand_rank", running)
+    else:
+        ordered = ordered_totals(rows, **PUMP_ORDER, rank="demand_rank", running=running)
     shared = pump_shares(ordered, of=rows)
     cumulative = N.percent_of(F.col("_so_far"), F.col("total_apparent_power_kva"))
     return shared.select(

@@ -94,6 +94,23 @@ def test_all_tables_are_stored(spark, tables):
     }
 
 
+def test_audits_read_the_stored_tables(tables):
+    found = build.audited(tables)
+    counts = by(found["row_counts"], "table_name", "row_count")
+    assert len(counts) == 14
+    assert counts == {name: (tables[name].count(),) for name in counts}
+    assert by(found["gold"], "table_name", "row_count")["asset_summary"] == (tables["asset_summary"].count(),)
+    assert found["critical_nulls"].count() == 1 and found["entities"].count() == 4
+
+
+def test_contribution_is_the_same_with_and_without_ranks(tables, rows):
+    ranked = tables["pump_demand"]
+    with_rank, without = (
+        marts.pump_demand_contribution(p) for p in (ranked, ranked.drop("demand_rank"))
+    )
+    assert with_rank.columns == without.columns and rows(with_rank) == rows(without)
+
+
 def test_base_silver(tables):
     base = tables["voltages"]
     assert by(base, "Bus", "source_row_id") == {

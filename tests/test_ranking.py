@@ -158,3 +158,21 @@ def test_every_type_ranks_as_the_plain_window(spark, kind, descending):
         ranked = R.global_rank(df, "m", "r", descending, ["id"], slots=slots)
         assert ranked.select("id", "r").exceptAll(plain.select("id", "r")).isEmpty()
         assert ranked.count() == 3000
+
+
+@pytest.mark.parametrize("per_slot", [1, 7, 250_000])
+def test_running_by_rank(spark, monkeypatch, per_slot):
+    monkeypatch.setattr(R, "ROWS_PER_SLOT", (1, per_slot))
+    df = spark.range(1, 101).select(F.col("id").alias("r"), F.when(F.col("id") % 9 != 1, F.col("id")).alias("x"))
+    plain = Window.orderBy("r").rowsBetween(Window.unboundedPreceding, 0)
+    found = R.running_by_rank(df.repartition(5), "r", {"s": "x"})
+    assert found.columns == ["r", "x", "s"]
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, df.withColumn("s", F.sum("x").over(plain)).collect()))
+
+
+def test_ties_that_other_columns_tell_apart_are_not_stored(spark, monkeypatch):
+    df = spark.range(20_000).select("id", F.lit(1.0).alias("x"))
+    monkeypatch.setattr(type(df), "checkpoint", lambda *a, **k: pytest.fail("stored"))
+    ranked = R.global_rank(df, "x", "place", slots=8)
+    assert ranked.columns == ["id", "x", "place"]
+    assert sorted(r["place"] for r in ranked.collect()) == list(range(1, 20_001))
