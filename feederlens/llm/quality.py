@@ -2,13 +2,19 @@
 
 A document is judged by how far zstandard shrinks it. Repetitive text shrinks
 far more, noise far less than prose, and short text shrinks less than long, so
-each length class has its own band. The whole document is compressed, which
+each length has its own band. The whole document is compressed, which
 sees what repeats from far away, and each fixed chunk alone, which sees a long
 document of which much is noise or one line over and over.
 
-Null or empty text has no words and fails the base rules. A document is judged
-by itself, so repeated rows, ties and the other columns change nothing; an
-empty table gives an empty result.
+The bands come from the table itself (``limits``): the median ratio of all its
+distinct texts by length, and so many spreads to either side. Lengths of too
+few texts have the fixed ``BANDS`` only, which hold for all others as well. So
+the table is read twice, and a document's band, not its measures, depends on
+the others; give a stored table or another cheap plan.
+
+Null or empty text has no words and fails the base rules. Repeated rows count
+once, ties and the other columns change nothing; an empty table gives an empty
+result. A table of which most is junk of one kind takes that for prose.
 """
 
 from __future__ import annotations
@@ -17,12 +23,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
 
 from feederlens.llm import grams
+from feederlens.llm.scratch import Scratch
 
-#: Up to this many bytes: lowest and highest ratio of compressed to plain size.
+#: Up to this many bytes: lowest and highest ratio of compressed to plain size, whatever the table.
 #: Below 64 bytes the frame's own bytes decide, so nothing is asked.
 BANDS = (
     (63, 0.0, 9.0),
@@ -43,6 +51,16 @@ CHUNK_BAND = (0.30, 0.80)
 CHUNK_SHARE = 0.25
 LEVEL = 3
 
+#: Length classes of a doubling, and the distinct texts or chunks that one must have.
+CLASSES_PER_DOUBLING = 4
+MIN_CLASS = 50
+#: Spreads (median absolute deviations) below and above the median that prose may lie.
+#: Chosen on the labels of one table, checked on those of another (README); prose with keys and numbers lies high.
+LOW_SPREADS = 4.5
+HIGH_SPREADS = 8.0
+#: Many near copies in a table have less spread than prose has.
+MIN_SPREAD = 0.003
+
 MIN_WORDS = 20
 REPEAT_WINDOW = 8
 MAX_REPEAT_PERCENT = 30
@@ -51,9 +69,12 @@ SPACES = " \t\n\v\f\r"
 
 MEASURES = (
     "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
-    "whole_ratio double, n_chunks long, n_chunks_outside long"
+    "whole_ratio double, n_chunks long, n_chunks_outside long, whole_inside boolean"
 )
-_TYPES = [pa.int64()] * 5 + [pa.float64(), pa.int64(), pa.int64()]
+_TYPES = [pa.int64()] * 5 + [pa.float64(), pa.int64(), pa.int64(), pa.bool_()]
+
+#: Log2 of length, median ratio and spread of each class, of whole texts (False) and of chunks (True).
+Limits = dict[bool, tuple[np.ndarray, np.ndarray, np.ndarray]]
 
 
 def _lines(text: str) -> int:
@@ -86,48 +107,144 @@ def _repeats(words: list[list[bytes]]) -> np.ndarray:
     return covered[ends] - covered[ends - lengths]
 
 
-def _measure(texts: list[str]) -> list[list]:
+def _pieces(raw: bytes) -> list[bytes]:
+    pieces = [raw[i : i + CHUNK] for i in range(0, len(raw), CHUNK)]
+    # A last chunk of under half the size has a ratio of its own; the whole document answers for it.
+    return [p for p in pieces if len(p) >= CHUNK // 2]
+
+
+def _fixed(n_bytes: int, chunk: bool) -> tuple[float, float]:
+    return CHUNK_BAND if chunk else next((low, high) for most, low, high in BANDS if most is None or n_bytes <= most)
+
+
+def _inside(n_bytes: int, ratio: float, chunk: bool, limits: Limits) -> bool:
+    """Whether a whole text or a chunk of ``n_bytes`` compresses as prose does."""
+    low, high = _fixed(n_bytes, chunk)
+    places, medians, spreads = limits.get(chunk, ((), (), ()))
+    at, margin = np.log2(n_bytes), 1 / CLASSES_PER_DOUBLING
+    if len(places) and places[0] - margin <= at <= places[-1] + margin and n_bytes > BANDS[0][0]:
+        median, spread = np.interp(at, places, medians), np.interp(at, places, spreads)
+        low, high = max(low, median - LOW_SPREADS * spread), min(high, median + HIGH_SPREADS * spread)
+    return bool(low <= ratio <= high)
+
+
+def _measure(texts: list[str], limits: Limits) -> list[list]:
     words = [grams.split_words(t) for t in texts]
     packer = zstandard.ZstdCompressor(level=LEVEL)
     rows = []
     for text, one, repeats in zip(texts, words, _repeats(words).tolist(), strict=True):
         raw = text.encode("utf-8")
-        pieces = [raw[i : i + CHUNK] for i in range(0, len(raw), CHUNK)]
-        # A last chunk of under half the size has a ratio of its own; the whole document answers for it.
-        pieces = [p for p in pieces if len(p) >= CHUNK // 2]
+        pieces = _pieces(raw)
         ratios = [len(packer.compress(p)) / len(p) for p in pieces]
+        whole = len(packer.compress(raw)) / len(raw) if raw else None
         rows.append([
             len(one),
             len(text) - sum(map(text.count, SPACES)),
             sum(map(text.count, SYMBOLS)),
             _lines(text),
             repeats,
-            len(packer.compress(raw)) / len(raw) if raw else None,
+            whole,
             len(ratios),
-            sum(not CHUNK_BAND[0] <= r <= CHUNK_BAND[1] for r in ratios),
+            sum(not _inside(len(p), r, True, limits) for p, r in zip(pieces, ratios, strict=True)),
+            _inside(len(raw), whole, False, limits) if raw else False,
         ])
     return rows
 
 
-def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _measured(limits: Limits):
+    def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [t or "" for t in batch.column("text").to_pylist()]
+            for start, end in grams.in_slices(texts):
+                columns = zip(*_measure(texts[start:end], limits), strict=True)
+                arrays = [pa.array(c, t) for c, t in zip(columns, _TYPES, strict=True)]
+                names = [x.split()[0] for x in MEASURES.split(", ")]
+                kept = batch.slice(start, end - start)
+                yield pa.RecordBatch.from_arrays(
+                    [*kept.columns, *arrays], names=[*batch.schema.names, *names]
+                )
+
+    return measured
+
+
+def _compressed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Key, length and ratio of each whole text and each chunk."""
+    packer = zstandard.ZstdCompressor(level=LEVEL)
     for batch in batches:
-        texts = [t or "" for t in batch.column("text").to_pylist()]
-        for start, end in grams.in_slices(texts):
-            columns = zip(*_measure(texts[start:end]), strict=True)
-            arrays = [pa.array(c, t) for c, t in zip(columns, _TYPES, strict=True)]
-            names = [x.split()[0] for x in MEASURES.split(", ")]
-            kept = batch.slice(start, end - start)
+        texts = batch.column("text").to_pylist()
+        for start, end in grams.in_slices([t or "" for t in texts]):
+            raws = [t.encode("utf-8") for t in texts[start:end] if t]
+            parts = [(False, r) for r in raws] + [(True, p) for r in raws for p in _pieces(r)]
             yield pa.RecordBatch.from_arrays(
-                [*kept.columns, *arrays], names=[*batch.schema.names, *names]
+                [
+                    pa.array([chunk for chunk, _ in parts], pa.bool_()),
+                    pa.array([xxhash.xxh3_128_digest(p) for _, p in parts], pa.binary()),
+                    pa.array([len(p) for _, p in parts], pa.int64()),
+                    pa.array([len(packer.compress(p)) / len(p) for _, p in parts], pa.float64()),
+                ],
+                names=["chunk", "key", "n_bytes", "ratio"],
             )
 
 
-def measure(docs: DataFrame) -> DataFrame:
+def _distances(limits: Limits):
+    """Ratios of pieces by how far they lie from the median of their length."""
+
+    def distances(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            chunk = batch.column("chunk").to_numpy(zero_copy_only=False)
+            at, far = np.log2(batch.column("n_bytes").to_numpy()), batch.column("ratio").to_numpy().copy()
+            for kind, (places, medians, _) in limits.items():
+                far[chunk == kind] -= np.interp(at[chunk == kind], places, medians)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("chunk"), batch.column("class"), pa.array(np.abs(far))], names=["chunk", "class", "far"]
+            )
+
+    return distances
+
+
+def limits(docs: DataFrame) -> Limits:
+    """Median ratio and its spread by length, over all distinct texts and chunks of ``docs``.
+
+    Ratios are counted to four digits, so a class's counts are bounded
+    and no order of rows changes a median; what comes back is two rows a class.
+    """
+    pieces = docs.select("text").mapInArrow(
+        grams.tidied(_compressed), "chunk boolean, key binary, n_bytes long, ratio double"
+    )
+    number = F.floor(F.log2("n_bytes") * CLASSES_PER_DOUBLING).alias("class")
+    distinct = pieces.where(F.col("n_bytes") > BANDS[0][0]).groupBy("chunk", "key").agg(
+        F.min("n_bytes").alias("n_bytes"), F.min("ratio").alias("ratio")
+    )
+    stored = Scratch(docs.sparkSession).keep(distinct.select("chunk", number, "n_bytes", "ratio"), "ratios")
+    middle = lambda name: F.percentile(F.round(name, 4), 0.5)
+    classes = stored.groupBy("chunk", "class").agg(
+        F.count("*").alias("n"), F.sum("n_bytes").alias("n_bytes"), middle("ratio").alias("median")
+    )
+    rows = classes.where(F.col("n") >= MIN_CLASS).orderBy("class").collect()
+    found: Limits = {}
+    for kind in (False, True):
+        own = [r for r in rows if r["chunk"] == kind]
+        if own:
+            places = np.log2([r["n_bytes"] / r["n"] for r in own])
+            found[kind] = (places, np.array([r["median"] for r in own]), np.zeros(len(own)))
+    if not found:
+        return found
+    far = stored.mapInArrow(_distances(found), "chunk boolean, class long, far double")
+    spread = {(r["chunk"], r["class"]): r["far"] for r in far.groupBy("chunk", "class").agg(middle("far").alias("far")).collect()}
+    for kind, (places, medians, _) in found.items():
+        own = [spread[kind, r["class"]] for r in rows if r["chunk"] == kind]
+        # The neighbours have a say, as near copies may fill one class.
+        pooled = [np.median(own[max(0, i - 1) : i + 2]) for i in range(len(own))]
+        found[kind] = (places, medians, np.maximum(pooled, MIN_SPREAD))
+    return found
+
+
+def measure(docs: DataFrame, bands: Limits | None = None) -> DataFrame:
     """``docs``, which has a column ``text``, with the measures; columns of their names are replaced."""
     names = [x.split()[0] for x in MEASURES.split(", ")]
     docs = docs.drop(*names)
     schema = docs.limit(0).select("*", *(F.lit(None).cast(x.split()[1]).alias(x.split()[0]) for x in MEASURES.split(", "))).schema
-    return docs.mapInArrow(grams.tidied(_measured), schema)
+    return docs.mapInArrow(grams.tidied(_measured(bands or {})), schema)
 
 
 def base_failed() -> Column:
@@ -136,22 +253,17 @@ def base_failed() -> Column:
     )
 
 
-def in_bands(n_bytes: Column) -> Column:
-    """Whether the whole and enough of the chunks compress as prose of this length does."""
-    ratio, inside = F.col("whole_ratio"), F.lit(False)
-    for most, low, high in reversed(BANDS):
-        band = ratio.between(low, high)
-        inside = band if most is None else F.when(n_bytes <= most, band).otherwise(inside)
-    chunks = F.col("n_chunks_outside") <= CHUNK_SHARE * F.col("n_chunks")
-    return F.coalesce(inside & chunks, F.lit(False))
+def in_bands() -> Column:
+    """Whether the whole and enough of the chunks compress as prose of their length does."""
+    return F.col("whole_inside") & (F.col("n_chunks_outside") <= CHUNK_SHARE * F.col("n_chunks"))
 
 
 def judge(docs: DataFrame) -> DataFrame:
     """``docs`` with measures, ``base_failed`` and ``kept``."""
     return (
-        measure(docs)
+        measure(docs, limits(docs))
         .withColumn("base_failed", base_failed())
-        .withColumn("kept", ~F.col("base_failed") & in_bands(F.octet_length("text")))
+        .withColumn("kept", ~F.col("base_failed") & in_bands())
     )
 
 
