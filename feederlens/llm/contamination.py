@@ -16,7 +16,8 @@ beyond it the join shuffles. Neither side makes pairs among itself, and a
 passage found in a third of all documents costs those documents' rows only.
 
 Words are runs of letters and digits, lower-cased. A text of fewer words than a
-shingle is one shingle; null, empty or wordless text has none and never
+shingle is one shingle; where items are that short, documents give their
+n-grams of the same length too, so the item is found inside them. Null, empty or wordless text has none and never
 matches. Rows sharing a doc_id are one document whose best row counts, and so
 with item_ids; null ids are ids of their own. An empty table on either side
 gives an empty result.
@@ -24,6 +25,8 @@ gives an empty result.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from feederlens.llm.scratch import Scratch
@@ -42,16 +45,22 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "")
 
 
-def shingles(text: Column, n: int = SHINGLE_WORDS) -> Column:
-    """Hashes of the word n-grams in order; null for text without words."""
+def shingles(text: Column, n: int = SHINGLE_WORDS, short: Sequence[int] = ()) -> Column:
+    """Hashes of the word n-grams in order, then of the ``short`` ones; null for text without words."""
     hashed = F.transform(words(text), lambda w: F.xxhash64(w))
 
+    def runs(h: Column, k: int) -> Column:
+        # As the hash of a whole text of k words.
+        return F.transform(F.sequence(F.lit(1), F.size(h) - k + 1), lambda i: F.xxhash64(F.slice(h, i, k)))
+
     def grams(h: Column) -> Column:
         size = F.size(h)
         several = F.transform(
             F.sequence(F.lit(0), size - n), lambda i: F.xxhash64(*(F.get(h, i + k) for k in range(n)))
         )
-        return F.when(size >= n, several).when(size > 0, F.array(F.xxhash64(h)))
+        usual = F.when(size >= n, several).when(size > 0, F.array(F.xxhash64(h)))
+        fewer = [F.when(size >= k, runs(h, k)).otherwise(F.array().cast("array<bigint>")) for k in short]
+        return F.concat(usual, *fewer) if fewer else usual
 
     # The word hashes are named once, so that they are computed once.
     return F.element_at(F.transform(F.array(hashed), grams), 1)
@@ -77,12 +86,13 @@ def contained(
     """
     scratch = Scratch(docs.sparkSession)
     sets = scratch.keep(
-        items.select("item_id", F.array_distinct(shingles(F.col("text"), n)).alias("item_set"))
+        items.select("item_id", F.array_distinct(shingles(F.col("text"), n)).alias("item_set"), F.size(words(F.col("text"))).alias("n_words"))
         .where("item_set is not null")
-        .select("item_id", "item_set", F.xxhash64("item_set").alias("set_id"),
+        .select("item_id", "item_set", "n_words", F.xxhash64("item_set").alias("set_id"),
                 _by_size(1).alias("functions"), _by_size(2).alias("least")),
         "items",
     )
+    short = sorted(r["n_words"] for r in sets.where(F.col("n_words") < n).select("n_words").distinct().collect())
     member = sets.dropDuplicates(["set_id"]).select("set_id", "functions", "least", F.explode("item_set").alias("shingle"))
     drawn = (
         member.select("set_id", "least", "shingle", F.explode(F.sequence(F.lit(1), "functions")).alias("function"))
@@ -92,7 +102,7 @@ def contained(
     sketch = scratch.keep(
         drawn.groupBy("set_id", "least", "shingle").agg(F.count("*").alias("minima")), "sketch"
     )
-    spread = docs.select("doc_id", F.explode(shingles(F.col("text"), n)).alias("shingle"))
+    spread = docs.select("doc_id", F.explode(shingles(F.col("text"), n, short)).alias("shingle"))
     held = spread.join(_sent(sketch), "shingle").distinct()
     candidates = scratch.keep(
         held.groupBy("doc_id", "set_id").agg(F.sum("minima").alias("minima"), F.first("least").alias("least"))
@@ -101,7 +111,7 @@ def contained(
     )
     ids = candidates.select("candidate").distinct()
     few = docs.select("doc_id", "text").join(_sent(ids), F.col("doc_id").eqNullSafe(F.col("candidate")), "left_semi")
-    whole = few.select("doc_id", F.array_distinct(shingles(F.col("text"), n)).alias("doc_set"))
+    whole = few.select("doc_id", F.array_distinct(shingles(F.col("text"), n, short)).alias("doc_set"))
     shared = (
         whole.join(candidates, F.col("doc_id").eqNullSafe(F.col("candidate")))
         .join(_sent(sets.select("set_id", "item_id", "item_set")), "set_id")

@@ -2,7 +2,7 @@
 
 import random
 
-from feederlens.llm import quality
+from feederlens.llm import contamination, quality
 
 
 def _sentences(draw, syllables, size):
@@ -38,3 +38,14 @@ def test_quality_limits_come_from_the_table(spark):
 def test_quality_limits_need_enough_texts(spark):
     few = spark.createDataFrame([(i, f"word{i} " * 30) for i in range(quality.MIN_CLASS - 1)], "doc_id long, text string")
     assert quality.limits(few) == {}
+
+
+def test_short_items_are_found_inside_documents(spark):
+    docs = spark.createDataFrame(
+        [(1, "we say that the Blue whale is large indeed"), (2, "blue whale"), (3, "the whale is blue and large"), (4, "blue"),
+         (5, None), (6, "nobody knows the answer to all of this, they say")], "doc_id long, text string")
+    items = spark.createDataFrame(
+        [(1, "blue whale"), (2, "Large"), (3, "whale is blue and"), (4, "knows the answer to all of this"), (5, "")],
+        "item_id long, text string")
+    found = {tuple(r) for r in contamination.contained(docs, items).collect()}
+    assert found == {(1, 1, 1, 1), (2, 1, 1, 1), (1, 2, 1, 1), (3, 2, 1, 1), (3, 3, 1, 1), (6, 4, 3, 3)}
