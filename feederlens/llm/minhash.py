@@ -27,7 +27,8 @@ those go to all tasks if their number is checked to be small, otherwise a join
 on doc_id brings them there.
 
 Null or empty text and text without words has an empty set and is linked with
-nothing. Rows sharing a doc_id are one document. A null doc_id is linked with
+nothing. Rows sharing a doc_id are one document, whose texts' classes are of
+one component. A null doc_id is linked with
 nothing, has a null component and is kept. An empty table gives an empty
 result; other columns are left alone.
 """
@@ -231,6 +232,20 @@ class _Groups:
             known.groupBy("set_key").agg(F.min("doc_id").alias("id"), F.first("bands").alias("bands")), "classes"
         )
 
+    def repeated(self) -> DataFrame | None:
+        """The doc_ids of several rows; None if there are none."""
+        ids = self.signed.where("doc_id is not null").groupBy("doc_id").count().where("count > 1")
+        found = self.scratch.keep(ids.select("doc_id"), "repeated")
+        return None if found.isEmpty() else found
+
+    def ties(self, repeated: DataFrame) -> DataFrame:
+        """(a, b) between the classes that one of the ``repeated`` doc_ids has texts in."""
+        held = (
+            self.signed.join(repeated, "doc_id").select("doc_id", "set_key").distinct()
+            .join(self.classes.select("set_key", F.col("id").alias("a")), "set_key")
+        )
+        return held.select("doc_id", "a").join(held.groupBy("doc_id").agg(F.min("a").alias("b")), "doc_id").select("a", "b")
+
     def _verify(self, pairs: DataFrame) -> DataFrame:
         """(a, b, highest, linked) of pairs a > b: the similarity, or what it is at most."""
         one = self.sets.select(F.col("id").alias("a"), F.col("signature").alias("sig_a"), F.col("members").alias("set_a"))
@@ -335,14 +350,23 @@ def near_duplicates(docs: DataFrame, n: int = SHINGLE_WORDS, percent: int = SIMI
     document of the smallest doc_id is kept.
     """
     groups = _Groups(docs, n, percent)
-    stars = groups.components().select(F.col("node").alias("id"), "component")
+    stars, repeated = groups.components(), groups.repeated()
+    if repeated is not None:
+        stars = connected(
+            stars.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(groups.ties(repeated)),
+            groups.scratch,
+        )
+    stars = stars.select(F.col("node").alias("id"), "component")
     classes = groups.classes.select("set_key", "id").join(stars, "id", "left").select(
         "set_key", F.coalesce("component", "id").alias("component")
     )
+    rows = groups.signed.select("doc_id", "n_shingles", "set_key").join(classes, "set_key", "left")
+    if repeated is not None:
+        # A row without words is of its document's component.
+        own = rows.join(repeated, "doc_id").groupBy("doc_id").agg(F.min("component").alias("own"))
+        rows = rows.join(own, "doc_id", "left").withColumn("component", F.coalesce("component", "own"))
     return (
-        groups.signed.select("doc_id", "n_shingles", "set_key")
-        .join(classes, "set_key", "left")
-        .select(
+        rows.select(
             "doc_id", "n_shingles",
             F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"),
         )

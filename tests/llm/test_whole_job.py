@@ -2,7 +2,7 @@
 
 import random
 
-from feederlens.llm import contamination, quality
+from feederlens.llm import contamination, minhash, quality
 
 
 def _sentences(draw, syllables, size):
@@ -49,3 +49,14 @@ def test_short_items_are_found_inside_documents(spark):
         "item_id long, text string")
     found = {tuple(r) for r in contamination.contained(docs, items).collect()}
     assert found == {(1, 1, 1, 1), (2, 1, 1, 1), (1, 2, 1, 1), (3, 2, 1, 1), (3, 3, 1, 1), (6, 4, 3, 3)}
+
+
+def test_rows_of_one_document_tie_their_classes(spark):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(60)) for x in "abcd")
+    near = " ".join(b.split()[:-1])
+    data = [(3, a), (5, a), (5, b), (9, b), (5, ""), (12, near), (20, c), (21, d), (21, d), (30, None), (None, a)]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    found = sorted((r.doc_id, r.component_id, r.kept) for r in minhash.near_duplicates(docs).collect() if r.doc_id)
+    assert found == sorted([
+        (3, 3, True), *[(5, 3, False)] * 3, (9, 3, False), (12, 3, False), (20, 20, True), *[(21, 21, True)] * 2, (30, 30, True),
+    ])
