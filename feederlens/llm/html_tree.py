@@ -66,7 +66,7 @@ def hint_of(attrs: list[tuple[str, str | None]]) -> str:
     found = set()
     for name, value in attrs:
         if name in ("class", "id", "role") and value:
-            found.update(_HINT.get(w.lower(), "") for w in _WORD.findall(value[:500]))
+            found.update(_HINT.get(w.lower(), "") for w in _WORD.findall(value))
         elif name == "hidden" or name == "style" and value and "display:none" in value.replace(" ", ""):
             found.add("notice")
     return next((k for k in ("comment", "advert", "notice", "frame", "content") if k in found), "none")

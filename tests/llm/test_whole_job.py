@@ -2,7 +2,7 @@
 
 import random
 
-from feederlens.llm import contamination, minhash, quality
+from feederlens.llm import contamination, html_tree, minhash, quality
 
 
 def _sentences(draw, syllables, size):
@@ -60,3 +60,7 @@ def test_rows_of_one_document_tie_their_classes(spark):
     assert found == sorted([
         (3, 3, True), *[(5, 3, False)] * 3, (9, 3, False), (12, 3, False), (20, 20, True), *[(21, 21, True)] * 2, (30, 30, True),
     ])
+
+
+def test_hints_are_read_from_the_whole_attribute():
+    assert html_tree.hint_of([("class", "xq " * 300 + "sidebar")]) == "frame"
