@@ -58,8 +58,8 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 @in_small_batches
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """What is left, in sequences."""
-    return packing.pack(docs)
+    """What is left, in sequences, with the token ids of each piece."""
+    return packing.pack(docs, with_ids=True)
 
 
 STAGES = [

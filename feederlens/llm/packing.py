@@ -34,6 +34,8 @@ WINDOW = 2048
 END_ID = 1
 #: Sequence ids of one partition begin at its number times this.
 SEQUENCES = 1 << 40
+#: Rows of a batch that carries token ids, of which each has up to a window.
+ROWS_WITH_IDS = 1000
 
 SCHEMA = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
@@ -183,7 +185,7 @@ def pack(docs: DataFrame, size: int = WINDOW, name: str = tokens.BYTE_BPE, with_
             kept[row][2] = done = done + length
             if 4 * done == len(raw):
                 kept[row] = None
-            if len(rows) >= 10_000:
+            if len(rows) >= (ROWS_WITH_IDS if with_ids else 10_000):
                 yield _batch(rows, with_ids)
                 rows = []
         if rows:

@@ -2,7 +2,7 @@
 
 import random
 
-from feederlens.llm import contamination, html_tree, minhash, quality
+from feederlens.llm import contamination, html_tree, minhash, quality, tokens
 
 
 def _sentences(draw, syllables, size):
@@ -40,6 +40,18 @@ def test_quality_limits_need_enough_texts(spark):
     assert quality.limits(few) == {}
 
 
+def test_pipeline_gives_token_ids(spark, tmp_path):
+    import corpus_pipeline
+
+    texts = {i: f"text number {i} goes on " * (1 + 40 * i) for i in range(40)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    pieces = sorted(corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).collect(), key=lambda p: (p.doc_id, p.start))
+    plain = tokens.load(tokens.BYTE_BPE)
+    for doc_id, text in texts.items():
+        laid = [x for p in pieces if p.doc_id == doc_id for x in p.ids]
+        assert laid == [*plain.encode(text, add_special_tokens=False).ids, 1]
+
+
 def test_short_items_are_found_inside_documents(spark):
     docs = spark.createDataFrame(
         [(1, "we say that the Blue whale is large indeed"), (2, "blue whale"), (3, "the whale is blue and large"), (4, "blue"),
