@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from feederlens.llm import grams, tokens
+from feederlens.llm import grams, units
 
 WINDOW = 2048
 END_ID = 1
@@ -148,23 +148,19 @@ def _laid(pieces: list[tuple], window: int) -> Iterator[tuple]:
 
 def _byte_ids(batches: Iterator[pa.RecordBatch], name: str, kept: list) -> Iterator[tuple[int, int]]:
     """(row, tokens) of each document; ``kept`` gets its id and its tokens' bytes."""
-    words = tokens.encoder(name, _as_bytes)
+    encoder = units.encoder(name)
     end = np.array([END_ID], "<u4").tobytes()
     for batch in batches:
-        ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-        for i in range(0, len(texts), 500):
-            encoded = words.encode([t or "" for t in texts[i : i + 500]])
-            for doc_id, values in zip(ids[i : i + 500], encoded, strict=True):
-                raw = b"".join(values) + end
-                kept.append([doc_id, raw, 0])
-                yield len(kept) - 1, len(raw) // 4
+        ids = iter(batch.column(0).to_pylist())
+        for texts in units.slices(batch.column(1)):
+            flat, offsets = encoder.encode(texts)
+            raw, at = memoryview(flat.astype("<u4", copy=False)).cast("B"), (4 * offsets).tolist()
+            for a, b in zip(at, at[1:]):
+                kept.append([next(ids), bytes(raw[a:b]) + end, 0])
+                yield len(kept) - 1, (b - a) // 4 + 1
 
 
-def _as_bytes(ids: np.ndarray) -> bytes:
-    return ids.tobytes()
-
-
-def pack(docs: DataFrame, size: int = WINDOW, name: str = tokens.BYTE_BPE, with_ids: bool = False) -> DataFrame:
+def pack(docs: DataFrame, size: int = WINDOW, name: str = units.BYTE_BPE, with_ids: bool = False) -> DataFrame:
     """One row for each piece of each document of ``docs`` (``doc_id``, ``text``).
 
     ``start`` counts the document's tokens before the piece, ``offset`` the

@@ -1,33 +1,20 @@
-"""Token ids and counts of whole texts by the public vocabulary files.
+"""Token counts of whole texts by the public vocabulary files.
 
-The tokenizers library does all encoding. Two things make it affordable:
-
-* ``WordEncoder`` encodes each distinct word once per task. Both vocabularies
-  split text before a single space, so a text is its space-led words end to
-  end. Texts for which this is not certain (runs of white space, special
-  strings, white space of other scripts) are encoded as a whole.
-* ``spliced_count`` encodes a huge document in overlapping chunks, with
-  offsets, and joins them at token boundaries that both chunks have and that
-  are proven stable.
+The tokenizers library does all encoding: of ordinary texts unit by unit (see
+``units``), of huge documents in overlapping chunks, with offsets, which
+``spliced_count`` joins at token boundaries that both chunks have and that are
+proven stable.
 """
 
 from __future__ import annotations
 
-import os
-import re
-from collections.abc import Iterator
-from itertools import chain
-
 import numpy as np
-import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-BYTE_BPE = "byte_bpe_50k.json"
-WORD_BPE = "word_bpe_49k.json"
-
-#: Words whose tokens a task holds at once, in two generations.
-CACHED_WORDS = 250_000
+from feederlens.llm import units
+from feederlens.llm.units import BYTE_BPE, WORD_BPE, load  # noqa: F401
 
 #: Documents with more characters are counted in chunks of this many.
 CHUNK_CHARS = 32_768
@@ -35,100 +22,9 @@ OVERLAP_CHARS = 256
 
 MAX_TOKENS = 2048
 
-#: Control characters and white space other than space and line feed: such a text is encoded as a whole.
-_UNSURE = re.compile("[\x00-\x09\x0b-\x1f\x7f-\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u2064\u3000\ufeff]")
 _STABLE = " \t\n\r"
 
 
-def load(name: str):
-    from tokenizers import Tokenizer
-
-    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    return Tokenizer.from_file(public_tokenizers.path(name))
-
-
-def splits_at_spaces(text: str) -> bool:
-    """Whether every space is followed by a word, so that the text is its space-led words end to end."""
-    return not (
-        "  " in text or " \n" in text or text.endswith(" ") or "<|" in text or _UNSURE.search(text)
-    )
-
-
-class WordEncoder:
-    """Tokens of texts, word by word through a bounded table.
-
-    ``value`` makes what is stored for a word from the ids of its tokens.
-    """
-
-    def __init__(self, name: str, value):
-        self.tokenizer = load(name)
-        self.value = value
-        self.mark = "<|endoftext|>"
-        self.mark_id = self.tokenizer.token_to_id(self.mark)
-        #: By id, whether a token begins with the space that leads a word; None if spaces are dropped.
-        self.leads = None
-        vocabulary = self.tokenizer.get_vocab()
-        leading = np.zeros(len(vocabulary), bool)
-        leading[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True
-        if leading[self._ids([" a"])[0][0]]:
-            self.leads = leading
-        self.new: dict = {}
-        self.old: dict = {}
-
-    def _ids(self, texts: list[str]) -> list[np.ndarray]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, "<u4") for x in found]
-
-    def whole(self, text: str):
-        return self.value(self._ids([text])[0])
-
-    def _values(self, words: list[str], spaced: bool) -> list:
-        """Values of words, encoded some at a time: far cheaper than one by one."""
-        values = []
-        if spaced and self.leads is not None:
-            groups = [words[i : i + 20] for i in range(0, len(words), 20)]
-            for group, ids in zip(groups, self._ids([" " + " ".join(g) for g in groups]), strict=True):
-                cuts = np.flatnonzero(self.leads[ids]).tolist()
-                assert len(cuts) == len(group) and cuts[0] == 0
-                values += [self.value(ids[a:b]) for a, b in zip(cuts, [*cuts[1:], len(ids)], strict=True)]
-            return values
-        groups = [words[i : i + 200] for i in range(0, len(words), 200)]
-        before = " " if spaced else ""
-        for group, ids in zip(
-            groups, self._ids(["".join(before + w + self.mark for w in g) for g in groups]), strict=True
-        ):
-            cuts = np.flatnonzero(ids == self.mark_id).tolist()
-            assert len(cuts) == len(group)
-            values += [self.value(ids[a:b]) for a, b in zip([0, *(c + 1 for c in cuts[:-1])], cuts, strict=True)]
-        return values
-
-    def encode(self, texts: list[str]) -> list[list]:
-        """One list of values for each text, in its order."""
-        split = [
-            (t.partition(" ")[0], (" " + t).split(" ")[2:]) if splits_at_spaces(t) else None
-            for t in texts
-        ]
-        if len(self.new) > CACHED_WORDS:
-            self.new, self.old = {}, self.new
-        new, old = self.new, self.old
-        missing = []
-        for word in set(chain.from_iterable(s[1] for s in split if s)):
-            if word not in new:
-                if word in old:
-                    new[word] = old[word]
-                else:
-                    missing.append(word)
-        new.update(zip(missing, self._values(missing, spaced=True), strict=True))
-        # A first word has no space before it.
-        heads = list({s[0] for s in split if s})
-        first = dict(zip(heads, self._values(heads, spaced=False), strict=True))
-        get = new.__getitem__
-        return [
-            [self.whole(t)] if s is None else [first[s[0]], *map(get, s[1])]
-            for t, s in zip(texts, split, strict=True)
-        ]
-
-
 def _boundaries(tokenizer, text: str) -> tuple[int, np.ndarray, np.ndarray]:
     """Number of tokens, and where each begins and ends in ``text``."""
     offsets = tokenizer.encode(text, add_special_tokens=False).offsets
@@ -187,30 +83,15 @@ def spliced_count(tokenizer, text: str, chunk: int = CHUNK_CHARS, overlap: int =
     return total
 
 
-_ENCODERS: dict[str, WordEncoder] = {}
-
-
-def encoder(name: str, value) -> WordEncoder:
-    if name not in _ENCODERS:
-        _ENCODERS[name] = WordEncoder(name, value)
-    return _ENCODERS[name]
-
-
-def count_texts(texts: list[str | None], name: str = WORD_BPE) -> list[int]:
+def count_texts(texts: pa.Array, name: str = WORD_BPE) -> np.ndarray:
     """Tokens of each text; null counts as empty."""
-    words = encoder(name, len)
-    whole = [t or "" for t in texts]
+    encoder = units.encoder(name)
     # Huge documents are spliced from overlapping chunks.
-    short = [t if len(t) <= CHUNK_CHARS else "" for t in whole]
-    return [
-        spliced_count(words.tokenizer, t) if len(t) > CHUNK_CHARS else sum(parts)
-        for t, parts in zip(whole, words.encode(short), strict=True)
-    ]
-
-
-def _slices(texts: list[str | None]) -> Iterator[tuple[int, int]]:
-    for i in range(0, len(texts), 500):
-        yield i, min(len(texts), i + 500)
+    huge = pc.fill_null(pc.greater(pc.utf8_length(texts), CHUNK_CHARS), False)
+    counts = encoder.counts(pc.if_else(huge, "", texts))
+    for row in np.flatnonzero(huge.to_numpy(zero_copy_only=False)).tolist():
+        counts[row] = spliced_count(encoder.tokenizer, texts[row].as_py())
+    return counts
 
 
 def count_tokens(docs: DataFrame, name: str = WORD_BPE) -> DataFrame:
@@ -224,10 +105,9 @@ def count_tokens(docs: DataFrame, name: str = WORD_BPE) -> DataFrame:
 
     def counted(batches):
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            counts = [n for a, b in _slices(texts) for n in count_texts(texts[a:b], name)]
+            counts = [pa.array(count_texts(some, name), pa.int64()) for some in units.slices(batch.column("text"))]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(counts, pa.int64())], names=schema.names
+                [*batch.columns, pa.concat_arrays(counts or [pa.array([], pa.int64())])], names=schema.names
             )
 
     return (
