@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from feederlens.llm import contamination, extraction, langid, line_dedup, minhash, packing, phrases, quality, sharding, tokens
+from feederlens.llm import (
+    alignment, contamination, extraction, idfiles, langid, line_dedup, minhash, packing, phrases, quality, sharding,
+    tokens, trie,
+)
 from feederlens.llm.scratch import table
 
 
@@ -63,6 +66,18 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return idfiles.through_files(table(spark, sf_dir, "documents"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.aligned(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -81,6 +96,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_html_extraction": op8_html_extraction,
         "op9_quality_rules": op9_quality_rules,
         "op10_langid": op10_langid,
+        "op11_token_files": op11_token_files,
+        "op12_prefix_trie": op12_prefix_trie,
+        "op13_alignment": op13_alignment,
         "pipeline": pipeline,
     }
 
