@@ -2,7 +2,9 @@
 
 Every query runs once to warm up and five times for the median, its result
 forced with a no-op write. ``value`` is the sum of the medians. ``compare``
-holds the same ranks and running sums through a single-partition window.
+holds the same ranks and running sums through a single-partition window, also
+over the lines repeated ``REPEATS`` times in 32 files, a third of them of one
+price, each run once after a warm-up.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ from feederlens.plans import build
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 RUNS = int(os.environ.get("BENCH_RUNS", "5"))
+REPEATS = int(os.environ.get("BENCH_REPEATS", "5"))
 
 HEADLINES = [
     "rank_global", "cumulative_share", "share_of_total", "clean_dedupe",
@@ -47,10 +50,19 @@ def _one_partition(grid, measure, running):
     return df
 
 
-def _median(run):
+def _many_files(grid, folder):
+    """The lines several times over, with a hot price, in 32 files."""
+    copies = F.explode(F.sequence(F.lit(1), F.lit(REPEATS)))
+    lines = grid.table("lineitem").select(*LINE_KEY, "l_extendedprice", "l_quantity", copies.alias("copy"))
+    hot = F.when(F.xxhash64("l_orderkey", "copy") % 3 == 0, F.lit(1000.0)).otherwise(F.col("l_extendedprice"))
+    lines = lines.withColumns({"l_extendedprice": hot, "l_partkey": F.col("l_partkey") + 1_000_000 * F.col("copy")})
+    lines.drop("copy").repartition(32).write.parquet(f"{folder}/lineitem.parquet")
+
+
+def _median(run, runs=RUNS):
     run()
     times = []
-    for _ in range(RUNS):
+    for _ in range(runs):
         start = time.perf_counter()
         run()
         times.append(time.perf_counter() - start)
@@ -87,6 +99,18 @@ def main():
             lambda: _noop(_one_partition(grid, "l_extendedprice", running=True))
         ),
     }
+    many = tempfile.mkdtemp(prefix="bench-")
+    _many_files(grid, many)
+    many = Grid(spark, many)
+    compare |= {
+        "many_files_rows": many.table("lineitem").count(),
+        "many_files_cumulative_share": _median(
+            lambda: _noop(registered["cumulative_share"](spark, many.sf_dir)), runs=1
+        ),
+        "many_files_cumulative_share_one_partition": _median(
+            lambda: _noop(_one_partition(many, "l_extendedprice", running=True)), runs=1
+        ),
+    }
     print(json.dumps({
         "metric": "sum of median query times",
         "value": round(sum(times.values()), 3),

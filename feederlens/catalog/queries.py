@@ -14,7 +14,7 @@ from feederlens.operators import cleaning as C
 from feederlens.operators.joins import with_values
 from feederlens.operators.ranking import global_rank, ordered_totals
 from feederlens.operators.shares import share_of_total
-from feederlens.plans import audits, extracts, gold, marts, reports, silver
+from feederlens.plans import audits, build, extracts, gold, marts, reports, silver
 from feederlens.sources.exports import with_lineage
 from feederlens import settings as S
 
@@ -114,6 +114,19 @@ class Grid:
     def profile(self):
         return self.voltage, self.deterioration, self.unbalance
 
+    @cached_property
+    def bus_names(self):
+        """Names as the voltage export has them, for counting; reads one column and computes nothing else."""
+        return self.projected("g_voltages").select(N.strip(F.col("Bus")).alias("bus_name"))
+
+    @cached_property
+    def built(self):
+        """All layers, stored and read back; runs the build."""
+        folder = self.spark.conf.get("spark.checkpoint.dir", None)
+        root = f"{folder.rstrip('/')}/builds" if folder else None
+        raw = {table: self.projected(name) for table, name in EXPORTS.items()}
+        return build.run(self.spark, raw, SETTINGS, root=root, publish=False)
+
     @cached_property
     def gold_tables(self):
         return {
@@ -136,12 +149,12 @@ class Grid:
             "transformer_performance": lambda: self.transformers,
             "voltage_unbalance_hotspots": lambda: marts.voltage_unbalance_hotspots(self.unbalance),
             "management_kpi_summary": lambda: self.kpi,
-            "powerbi_network_health": lambda: extracts.network_health(*self.profile),
+            "powerbi_network_health": lambda: extracts.network_health(*self.profile, self.bus_names),
             "powerbi_pump_demand": lambda: extracts.pump_demand(self.contribution),
             "powerbi_asset_performance": lambda: extracts.asset_performance(self.summary),
             "powerbi_kpi_summary": lambda: extracts.kpi_summary(self.kpi),
             "powerbi_priority_locations": lambda: extracts.priority_locations(
-                *self.profile, SETTINGS
+                *self.profile, SETTINGS, self.bus_names
             ),
         }
         return {name: builders[name]() for name in names or builders}
@@ -155,11 +168,6 @@ EXPORTS = {
 }
 
 
-def _rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
-    """Round what depends on the order of a floating-point sum."""
-    return df.withColumns(marts.rounded(digits, *columns))
-
-
 # Cleaning --------------------------------------------------------------------
 
 def clean_null_tokens(g: Grid) -> DataFrame:
@@ -361,25 +369,6 @@ def share_of_total_lines(g: Grid) -> DataFrame:
     )
 
 
-# Marts -----------------------------------------------------------------------
-
-def mart_pump_demand_contribution(g: Grid) -> DataFrame:
-    return _rounded(
-        g.contribution, 6,
-        "total_active_power_kw", "total_reactive_power_kvar", "total_apparent_power_kva",
-        "active_power_contribution_percent", "apparent_power_contribution_percent",
-        "cumulative_apparent_power_percent",
-    )
-
-
-def mart_pump_demand_kpi(g: Grid) -> DataFrame:
-    return _rounded(
-        marts.pump_demand_kpi(g.pumps), 6,
-        "total_active_power_kw", "total_reactive_power_kvar", "total_apparent_power_kva",
-        "average_power_factor",
-    )
-
-
 _BY_NAME: dict[str, Callable[[Grid], DataFrame]] = {
     "clean_null_tokens": clean_null_tokens,
     "clean_drop_all_null": clean_drop_all_null,
@@ -433,8 +422,8 @@ _BY_NAME: dict[str, Callable[[Grid], DataFrame]] = {
     "mart_voltage_deterioration": lambda g: g.deterioration,
     "mart_asset_demand": lambda g: marts.asset_demand(g.power, SETTINGS),
     "mart_pump_demand": lambda g: marts.pump_demand(g.power, SETTINGS),
-    "mart_pump_demand_contribution": mart_pump_demand_contribution,
-    "mart_pump_demand_kpi": mart_pump_demand_kpi,
+    "mart_pump_demand_contribution": lambda g: g.contribution,
+    "mart_pump_demand_kpi": lambda g: marts.pump_demand_kpi(g.pumps),
     "mart_transformer_performance": lambda g: g.transformers,
     "mart_voltage_unbalance_hotspots": lambda g: marts.voltage_unbalance_hotspots(g.unbalance),
     "mart_management_kpi_summary": lambda g: g.kpi,
@@ -446,33 +435,38 @@ _BY_NAME: dict[str, Callable[[Grid], DataFrame]] = {
     "report_level_counts": lambda g: reports.level_counts(g.voltage),
     "report_q1_voltage": lambda g: reports.voltage_concentration(g.voltage),
     "report_q1_risk_locations": lambda g: reports.risk_locations(
-        marts.voltage_performance(g.voltage), SETTINGS
+        marts.voltage_performance(g.voltage), SETTINGS, in_order=True
     ),
     "report_q2_pumps": lambda g: reports.pump_contribution(marts.pump_shares(g.pumps)),
     "topn_pumps": lambda g: reports.top_pumps(marts.pump_shares(g.pumps), SETTINGS),
     "report_q3_assets": lambda g: reports.asset_demand_report(
-        marts.asset_demand(g.power, SETTINGS)
+        marts.asset_demand(g.power, SETTINGS), in_order=True
     ),
     "topn_assets": lambda g: reports.top_assets(marts.asset_demand_rows(g.power, SETTINGS), SETTINGS),
     "report_q4_deterioration": lambda g: reports.downstream_deterioration(g.deterioration),
     "report_q5_transformers": lambda g: reports.transformer_capacity(g.transformers),
     "report_q6_hotspots": lambda g: reports.unbalance_hotspots(
-        marts.voltage_unbalance_hotspots(g.unbalance)
+        marts.voltage_unbalance_hotspots(g.unbalance), in_order=True
     ),
     "report_q6_moderate": lambda g: reports.moderate_unbalance(g.unbalance),
     "report_q7_snapshot": lambda g: reports.executive_snapshot(g.kpi),
-    "report_q8_priority": lambda g: reports.priority_locations(*g.profile, SETTINGS),
-    "bi_network_health": lambda g: extracts.network_health(*g.profile),
+    "report_q8_priority": lambda g: reports.priority_locations(*g.profile, SETTINGS, g.bus_names),
+    "bi_network_health": lambda g: extracts.network_health(*g.profile, g.bus_names),
     "bi_pump_demand": lambda g: extracts.pump_demand(g.contribution),
     "bi_asset_performance": lambda g: extracts.asset_performance(g.summary),
     "bi_kpi_summary": lambda g: extracts.kpi_summary(g.kpi),
-    "bi_priority_locations": lambda g: extracts.priority_locations(*g.profile, SETTINGS),
+    "bi_priority_locations": lambda g: extracts.priority_locations(
+        *g.profile, SETTINGS, g.bus_names
+    ),
     "audit_row_counts": lambda g: audits.audit_row_counts(g.audited()),
     "audit_critical_nulls": lambda g: audits.audit_critical_nulls(g.kpi),
     "audit_entities": lambda g: audits.audit_entities(
         g.audited(*[table for table, _ in audits.EXTRACT_ENTITIES.values()])
     ),
     "audit_gold": lambda g: audits.audit_gold(g.gold_tables),
+    "audit_written": lambda g: audits.audit_written(g.built, g.built.rows),
+    "stored_network_health": lambda g: g.built["powerbi_network_health"],
+    "stored_kpi_summary": lambda g: g.built["powerbi_kpi_summary"],
     "audit_rejected": lambda g: audits.audit_rejected(
         {table: g.projected(name) for table, name in EXPORTS.items()}
     ),

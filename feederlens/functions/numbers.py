@@ -75,3 +75,11 @@ def apparent_power(active: Column, reactive: Column) -> Column:
 def power_factor(active: Column, apparent: Column) -> Column:
     """Signed P/S, only where S is positive."""
     return F.when(apparent > 0, active / apparent)
+
+
+def exact(value: Column) -> Column:
+    """A double as the decimal that it is written as, so that sums come out the same in any order.
+
+    Up to 20 digits behind the point; NULL where the decimal has no room for it.
+    """
+    return value.try_cast("decimal(38,20)")

@@ -16,26 +16,49 @@ def _stack(parts) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """One row per table: its name and its number of rows."""
+def row_counts(tables: Mapping[str, DataFrame], rows: Mapping[str, int] | None = None) -> DataFrame:
+    """One row per table: its name and its number of rows, counted unless ``rows`` has it."""
+    if rows is not None:
+        return _noted(tables, rows, "table_name string, row_count long")
     return _stack(
         df.agg(F.count("*").alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
         for name, df in tables.items()
     )
 
 
+def lost_rows(tables: Mapping[str, DataFrame], rows: Mapping[str, int]) -> DataFrame:
+    """One row per table: the rows written to it, those it holds, and what lies between."""
+    written = _noted(tables, rows, "table_name string, written_rows long")
+    stored = row_counts(tables).withColumnRenamed("row_count", "stored_rows")
+    # One row for each table.
+    return written.join(F.broadcast(stored), "table_name").withColumn(
+        "lost_rows", F.col("written_rows") - F.col("stored_rows")
+    )
+
+
+def _noted(tables, rows, schema):
+    [spark] = {df.sparkSession for df in tables.values()}
+    return spark.createDataFrame([(name, rows[name]) for name in tables], schema)
+
+
 def null_counts(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     """One row: how many rows lack each column; ``{output name: column}``."""
     return df.agg(*[count_where(F.col(c).isNull()).alias(name) for name, c in columns.items()])
 
 
-def entity_counts(tables: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
-    """One row per table: rows against distinct values of its key column."""
+def entity_counts(
+    tables: Mapping[str, tuple[DataFrame, str]], rows: Mapping[str, int] | None = None
+) -> DataFrame:
+    """One row per table: rows, counted unless ``rows`` has them, against distinct values of its key column."""
+
+    def check(name, df, key):
+        distinct = F.countDistinct(key).alias("unique_business_entities")
+        if rows is None:
+            return df.agg(F.count("*").alias("rows"), distinct)
+        return df.agg(distinct).withColumn("rows", F.lit(rows[name]).cast("bigint"))
+
     return _stack(
-        df.agg(
-            F.count("*").alias("rows"),
-            F.countDistinct(key).alias("unique_business_entities"),
-        ).select(F.lit(name).alias("dataset"), "rows", "unique_business_entities")
+        check(name, df, key).select(F.lit(name).alias("dataset"), "rows", "unique_business_entities")
         for name, (df, key) in tables.items()
     )
 

@@ -3,45 +3,116 @@
 from __future__ import annotations
 
 from functools import reduce
+from math import prod
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
+#: A name is split if its result fills more than this part of a mean partition, into cells of a quarter of that.
+SPLIT_FROM = 0.25
+CELLS_PER_SPLIT = 4
 
-def left_star(fact: DataFrame, sides: list[DataFrame], key: str) -> DataFrame:
+#: Bounds of the frequent-names aggregate: names it returns, and names it tracks.
+MOST_NAMES = 100_000
+MOST_TRACKED = 1_000_000
+
+
+def left_star(
+    fact: DataFrame, sides: list[DataFrame], key: str, fact_names: DataFrame | None = None
+) -> DataFrame:
     """Left-join every side to the fact table on one key, keeping all matches.
 
     All joins share the key, so each input is shuffled once and nothing between
-    the joins. A key with more rows of the fact table than a shuffle partition
-    holds on average would make a task of its own: its rows are spread over as
-    many parts as it fills partitions, and the matching side rows are repeated
-    for each part. Rows without a key, which match nothing, are spread over all.
-    Which keys these are is part of the plan: counts per key, from the key
-    column alone, and no job when the plan is built.
+    the joins. A key of which the result is large, because it is frequent in the
+    fact table, in a side, or in several, is joined in a grid of cells: each
+    input deals its own rows of the key into parts, by the row's hash, and
+    repeats each part along the parts of the others. Rows without a key, which
+    match nothing, are spread over all tasks.
+
+    Which keys these are is part of the plan: one aggregate over the key column
+    of each input, and no job when the plan is built. Where ``fact`` is costly
+    to compute for that, ``fact_names`` is any frame with the same column whose
+    counts are about the same; the counts only decide on the split.
     """
     partitions = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hot = _hot_keys(fact, key, partitions)
+    inputs = [fact, *sides]
+    grid = _grid([fact_names or fact, *sides], key, partitions)
+    parts = [F.coalesce(f"_parts{i}", F.lit(1)) for i in range(len(inputs))]
+    dealt = [_dealt(df, i, grid, key, parts, partitions) for i, df in enumerate(inputs)]
+    joined = reduce(lambda rows, side: rows.join(side, [key, "_cell"], "left"), dealt)
+    # Every row of a key meets all parts of a side; only where the side is whole does no match mean none.
+    for i in range(1, len(inputs)):
+        joined = joined.where((parts[i] == 1) | F.col(f"_there{i}"))
+    return joined.select(*fact.columns, *[c for s in sides for c in s.columns if c != key])
+
+
+def _dealt(df: DataFrame, i: int, grid: DataFrame, key: str, parts: list[Column], partitions: int) -> DataFrame:
+    """Rows of input ``i`` with the cells they go to, a row for each; cells are numbered with the last input's parts fastest."""
     # By value, so a recomputed task splits the same way. Whole-row copies
     # stay together; dedupe() removes them earlier.
-    place = F.xxhash64(*fact.columns)
-    parts = F.when(F.col(key).isNull(), partitions).otherwise(F.coalesce("_parts", F.lit(1)))
-    left = (
-        fact.withColumn("_place", place).join(hot, key, "left")
-        .withColumn("_part", F.pmod("_place", parts).cast("int"))
-        .drop("_place", "_parts")
+    place = F.xxhash64(*df.columns)
+    after, own = prod(parts[i + 1 :], start=F.lit(1)), parts[i]
+    part = F.pmod(F.col("_place"), own)
+
+    def cell(x):
+        return F.floor(x / after) * own * after + part * after + x % after
+
+    others = F.sequence(F.lit(0), (prod(parts, start=F.lit(1)) / own).cast("int") - 1)
+    one = F.lit(0).cast("bigint")
+    cells = F.when(F.col("_parts0").isNull(), F.array(one)).otherwise(F.transform(others, lambda x: cell(x).cast("bigint")))
+    if i == 0:
+        cells = F.when(F.col(key).isNull(), F.array(F.pmod("_place", F.lit(partitions)))).otherwise(cells)
+    dealt = df.withColumn("_place", place).join(grid, key, "left").withColumn("_cell", F.explode(cells))
+    names = [f"_parts{k}" for k in range(len(parts))]
+    if i == 0:
+        return dealt.drop("_place")
+    return dealt.drop("_place", *names).withColumn(f"_there{i}", F.lit(True))
+
+
+def _frequent(df: DataFrame, key: str, partitions: int) -> DataFrame:
+    """(name, rows, total): keys with more than a small part of a mean partition, by one aggregate over the key column.
+
+    The sketch keeps a bounded number of names, merges partial results and
+    reports only names that are surely there.
+    """
+    wanted = min(MOST_NAMES, max(100, 4 * partitions))
+    tracked = min(MOST_TRACKED, 16 * wanted)
+    return (
+        df.select(F.col(key).alias("name")).where("name IS NOT NULL")
+        .agg(F.expr(f"approx_top_k(name, {wanted}, {tracked})").alias("names"), F.count("*").alias("total"))
+        .select("total", F.inline("names")).select(F.col("item").alias("name"), F.col("count").alias("rows"), "total")
     )
-    every = F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)).cast("int") - 1))
-    spread = [side.join(hot, key, "left").withColumn("_part", every).drop("_parts") for side in sides]
-    on = [key, "_part"]
-    joined = reduce(lambda rows, side: rows.join(side, on, "left"), spread, left)
-    return joined.select(*fact.columns, *[c for s in sides for c in s.columns if c != key])
 
 
-def _hot_keys(df: DataFrame, key: str, partitions: int) -> DataFrame:
-    """(key, _parts) of keys that fill more than a mean partition: fewer keys than partitions, so they are sent to all."""
-    counted = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_rows"))
-    mean = counted.agg((F.sum("_rows") / partitions).alias("mean")).scalar()
-    hot = counted.filter(F.col("_rows") > mean).filter(F.col("_rows") > 1)
-    return F.broadcast(hot.select(key, F.ceil(F.col("_rows") / mean).alias("_parts")))
+def _grid(inputs: list[DataFrame], key: str, partitions: int) -> DataFrame:
+    """(key, _parts0, _parts1, ...) of keys to split: in how many parts each input deals its rows.
+
+    Fewer keys than a small multiple of the partitions, so they are sent to all.
+    """
+    n = len(inputs)
+    frequent = reduce(DataFrame.unionByName, [
+        _frequent(df, key, partitions).withColumn("input", F.lit(i)) for i, df in enumerate(inputs)
+    ])
+    of_input = [F.max(F.when(F.col("input") == i, F.col("rows"))) for i in range(n)]
+    named = frequent.groupBy("name").agg(
+        *[F.coalesce(rows, F.lit(1)).cast("double").alias(f"_rows{i}") for i, rows in enumerate(of_input)],
+        F.max(F.when(F.col("input") == 0, F.col("total"))).alias("_fact_rows"),
+    )
+    result = prod((F.col(f"_rows{i}") for i in range(n)), start=F.lit(1.0))
+    named = named.withColumn("_result", result)
+    # Rows of the whole result: the fact table's, and what frequent names add.
+    everything = Window.partitionBy()
+    total = F.coalesce(F.max("_fact_rows").over(everything), F.lit(0)) + F.sum(F.col("_result") - F.col("_rows0")).over(everything)
+    named = named.withColumn("_split_from", total * SPLIT_FROM / partitions)
+    hot = named.where(F.col("_result") > F.greatest("_split_from", F.lit(1)))
+    left = hot.withColumn("_left", F.ceil(F.col("_result") / F.col("_split_from") * CELLS_PER_SPLIT))
+    for i in range(n):
+        # What is dealt into parts is repeated along the others' parts: near the square root, repeating costs both the least.
+        rest = prod((F.col(f"_rows{j}") for j in range(i + 1, n)), start=F.lit(1.0))
+        even = F.ceil(F.sqrt(F.col("_left") * F.col(f"_rows{i}") / rest))
+        parts = F.greatest(F.lit(1), F.least(even, "_left", F.col(f"_rows{i}").cast("bigint"))).cast("int")
+        left = left.withColumn(f"_parts{i}", parts)
+        left = left.withColumn("_left", F.ceil(F.col("_left") / F.col(f"_parts{i}")))
+    return F.broadcast(left.select(F.col("name").alias(key), *[f"_parts{i}" for i in range(n)]))
 
 
 def with_values(df: DataFrame, one_row: DataFrame) -> DataFrame:

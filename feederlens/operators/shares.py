@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, functions as F
 
 from feederlens.functions.numbers import percent_of
+from feederlens.functions.picks import exact_sum
 from feederlens.operators.joins import with_values
 
 
@@ -24,7 +25,7 @@ def share_of_total(
     """
     total_of = {column: total for total, column in totals.items()}
     source = df if of is None else of
-    one_row = source.agg(*[F.sum(column).alias(total) for total, column in totals.items()])
+    one_row = source.agg(*[exact_sum(column).alias(total) for total, column in totals.items()])
     return with_values(df, one_row).withColumns({
         share: percent_of(F.col(column), F.col(total_of[column]))
         for share, column in shares.items()

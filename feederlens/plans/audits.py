@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from feederlens.operators import checks
 from feederlens.settings import EXPORT_KEYS
@@ -44,9 +44,16 @@ GOLD_KEYS = {
 }
 
 
-def audit_row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Rows of every analytics table and BI extract."""
-    return checks.row_counts({n: tables[n] for n in ANALYTICS_TABLES + EXTRACT_TABLES})
+def audit_row_counts(
+    tables: Mapping[str, DataFrame], rows: Mapping[str, int] | None = None
+) -> DataFrame:
+    """Rows of every analytics table and BI extract; ``rows`` that are known need no reading."""
+    return checks.row_counts({n: tables[n] for n in ANALYTICS_TABLES + EXTRACT_TABLES}, rows)
+
+
+def audit_written(tables: Mapping[str, DataFrame], rows: Mapping[str, int]) -> DataFrame:
+    """Rows written to every table against those it holds, which the files' footers tell."""
+    return checks.lost_rows(tables, rows)
 
 
 def audit_critical_nulls(kpi: DataFrame) -> DataFrame:
@@ -54,9 +61,12 @@ def audit_critical_nulls(kpi: DataFrame) -> DataFrame:
     return checks.null_counts(kpi, CRITICAL_KPIS)
 
 
-def audit_entities(tables: Mapping[str, DataFrame]) -> DataFrame:
+def audit_entities(
+    tables: Mapping[str, DataFrame], rows: Mapping[str, int] | None = None
+) -> DataFrame:
     """Rows against distinct entities; more rows than entities means a join fanned out."""
-    return checks.entity_counts({n: (tables[t], key) for n, (t, key) in EXTRACT_ENTITIES.items()})
+    named = {n: (tables[t], key) for n, (t, key) in EXTRACT_ENTITIES.items()}
+    return checks.entity_counts(named, rows and {n: rows[t] for n, (t, _) in EXTRACT_ENTITIES.items()})
 
 
 def audit_gold(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -67,3 +77,10 @@ def audit_gold(tables: Mapping[str, DataFrame]) -> DataFrame:
 def audit_rejected(raw: Mapping[str, DataFrame]) -> DataFrame:
     """Rows of every raw export, and how many of them cleaning rejects as nameless."""
     return checks.rejected_keys({name: (raw[name], key) for name, key in EXPORT_KEYS.items()})
+
+
+def audit_malformed(set_aside: DataFrame) -> DataFrame:
+    """Rows that did not fit the header, by export and file; ``set_aside`` as ``set_aside_exports`` gives them."""
+    return set_aside.groupBy("table_name", "source_file").agg(
+        F.count("*").alias("malformed_rows"), F.min("source_row_id").alias("first_row_id")
+    )

@@ -1,7 +1,12 @@
-"""Exports to BI extracts, every layer stored. Later tables read stored ones."""
+"""Exports to BI extracts, every layer stored. Later tables read stored ones.
+
+A build is stored beside the published one and audited before it takes its
+place, so a fault half way leaves the published tables as they are.
+"""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Collection, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
@@ -9,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from feederlens.plans import audits, extracts, gold, marts, silver
 from feederlens.sources.exports import read_exports
-from feederlens.sources.tables import create_layers, save_table
+from feederlens.sources.staging import StagedBuild, Stored
+from feederlens.sources.tables import create_layers
 from feederlens import settings as S
 
 STANDARDIZE = {
@@ -20,21 +26,36 @@ STANDARDIZE = {
 }
 
 
+class Built(dict):
+    """Stored tables by name, with the rows written to each (``rows``) and the name of the build."""
+
+    def __init__(self, build: str, stored: Mapping[str, Stored]):
+        super().__init__({name: t.table for name, t in stored.items()})
+        self.build = build
+        self.rows = {name: t.rows for name, t in stored.items()}
+
+
+class BuildRejected(Exception):
+    """The audits found faults in a build; it is stored, but not published."""
+
+
 class Layers:
-    """Stored tables by name, saved into one schema per layer."""
+    """Stored tables by name, one folder per layer."""
 
-    def __init__(self, spark: SparkSession, fmt: str = "parquet"):
-        self.spark, self.fmt = spark, fmt
+    def __init__(self, staged: StagedBuild):
+        self.staged = staged
+        self.stored: dict[str, Stored] = {}
         self.tables: dict[str, DataFrame] = {}
 
     def save(self, layer: str, **builds: Callable[[], DataFrame]) -> None:
         """Build and save tables that do not need each other, side by side."""
 
         def one(name):
-            return name, save_table(builds[name](), f"{layer}.{name}", self.fmt)
+            return name, self.staged.save(layer, name, builds[name])
 
         with ThreadPoolExecutor(len(builds)) as pool:
-            self.tables.update(pool.map(one, builds))
+            for name, stored in pool.map(one, builds):
+                self.stored[name], self.tables[name] = stored, stored.table
 
 
 def build_silver(
@@ -120,28 +141,59 @@ def run(
     settings: S.GridSettings = S.DEFAULTS,
     fmt: str = "parquet",
     one_file: Collection[str] = (),
-) -> dict[str, DataFrame]:
-    """Build and store all 27 tables from the four raw tables; returns them by name.
-
-    ``one_file`` names the raw tables that come from a single file.
+    build: str | None = None,
+    root: str | None = None,
+    publish: bool = True,
+) -> Built:
+    """Build, store and publish all 27 tables from the four raw tables; returns them by name.
+
+    ``one_file`` names the raw tables that come from a single file. ``build``
+    names the build: one that stopped goes on behind its last stored table if
+    it is run again under its name, with the same inputs. ``root`` is the
+    folder of the builds. Faults that the audits find raise ``BuildRejected``
+    and leave the published build; with ``publish`` off nothing is switched.
     """
-    create_layers(spark)
-    out = Layers(spark, fmt)
+    staged = StagedBuild(spark, build or uuid.uuid4().hex, root, fmt)
+    out = Layers(staged)
     build_silver(out, raw, settings, one_file)
     build_gold(out)
     build_analytics(out, settings)
     build_extracts(out, settings)
-    return out.tables
+    built = Built(staged.build, out.stored)
+    if publish:
+        if found := faults(built):
+            raise BuildRejected("; ".join(found))
+        create_layers(spark)
+        staged.publish(out.stored.values())
+    return built
+
+
+def faults(built: Built) -> list[str]:
+    """What keeps a build from being published: rows lost in storing, gold rows without a key."""
+    lost = audits.audit_written(built, built.rows).where("lost_rows != 0").collect()
+    nameless = audits.audit_gold(built).where("null_keys > 0").collect()
+    return [
+        *[f"{r.table_name}: {r.written_rows} rows written, {r.stored_rows} stored" for r in lost],
+        *[f"{r.table_name}: {r.null_keys} rows without a key" for r in nameless],
+    ]
 
 
 def audited(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """The audits over what ``run`` stored, by name; each reads the stored tables only."""
-    return {
-        "row_counts": audits.audit_row_counts(tables),
+    """The audits over what ``run`` stored, by name; each reads the stored tables only.
+
+    Row counts are those taken while writing, where ``tables`` is what ``run``
+    returned; ``written`` holds them against the rows that are stored now.
+    """
+    rows = getattr(tables, "rows", None)
+    found = {
+        "row_counts": audits.audit_row_counts(tables, rows),
         "critical_nulls": audits.audit_critical_nulls(tables["management_kpi_summary"]),
-        "entities": audits.audit_entities(tables),
+        "entities": audits.audit_entities(tables, rows),
         "gold": audits.audit_gold(tables),
     }
+    if rows is not None:
+        found["written"] = audits.audit_written(tables, rows)
+    return found
 
 
 def run_exports(
@@ -151,8 +203,11 @@ def run_exports(
     settings: S.GridSettings = S.DEFAULTS,
     fmt: str = "parquet",
     multiline: bool = False,
-) -> dict[str, DataFrame]:
-    """The whole way from four CSV exports; ``multiline`` as in ``read_export``."""
-    raw = read_exports(spark, base, files, multiline)
+    build: str | None = None,
+    root: str | None = None,
+    bad_rows: str = "error",
+) -> Built:
+    """The whole way from four CSV exports; ``multiline`` and ``bad_rows`` as in ``read_export``, the rest as in ``run``."""
+    raw = read_exports(spark, base, files, multiline, bad_rows)
     one_file = {name for name, df in raw.items() if len(df.inputFiles()) == 1}
-    return run(spark, raw, settings, fmt, one_file)
+    return run(spark, raw, settings, fmt, one_file, build, root)

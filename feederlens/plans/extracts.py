@@ -17,10 +17,10 @@ def _rounded(df: DataFrame, spec: dict) -> DataFrame:
 
 
 def network_health(
-    performance: DataFrame, deterioration: DataFrame, hotspots: DataFrame
+    performance: DataFrame, deterioration: DataFrame, hotspots: DataFrame, names: DataFrame | None = None
 ) -> DataFrame:
     """Every bus with voltage, downstream change and unbalance."""
-    return _rounded(bus_profile(performance, deterioration, hotspots), {
+    return _rounded(bus_profile(performance, deterioration, hotspots, names), {
         "bus_name": ("bus_name", None),
         "network_level": ("network_level", None),
         "nominal_voltage_kv": ("nominal_voltage_kv", 3),
@@ -75,9 +75,10 @@ def priority_locations(
     deterioration: DataFrame,
     hotspots: DataFrame,
     settings: S.GridSettings = S.DEFAULTS,
+    names: DataFrame | None = None,
 ) -> DataFrame:
     """Low-voltage buses with voltage, downstream change and unbalance."""
-    profile = low_voltage_profile(performance, deterioration, hotspots, settings)
+    profile = low_voltage_profile(performance, deterioration, hotspots, settings, names)
     return _rounded(profile, {
         "bus_name": ("bus_name", None),
         "network_level": ("network_level", None),

@@ -136,8 +136,8 @@ def pump_demand_kpi(pumps: DataFrame) -> DataFrame:
     """One row of totals and extremes over all pumps."""
     return pumps.agg(
         F.count("*").alias("pump_count"),
-        *[F.sum(c).alias(f"total_{c}") for c in POWER_COLUMNS[:3]],
-        F.avg("power_factor").alias("average_power_factor"),
+        *[P.exact_sum(c).alias(f"total_{c}") for c in POWER_COLUMNS[:3]],
+        P.exact_mean("power_factor").alias("average_power_factor"),
         F.max("apparent_power_kva").alias("highest_pump_apparent_power_kva"),
         F.min("apparent_power_kva").alias("lowest_pump_apparent_power_kva"),
     )

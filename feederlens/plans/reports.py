@@ -9,8 +9,12 @@ from feederlens.operators.joins import left_star
 from feederlens import settings as S
 
 
-def show(df: DataFrame, order: list, spec: dict) -> DataFrame:
-    """Sort, then project ``{output: column or (column, digits)}``."""
+def show(df: DataFrame, order: list, spec: dict, in_order: bool = False) -> DataFrame:
+    """Sort, then project ``{output: column or (column, digits)}``.
+
+    Rows that were ranked in the same plan lie in rank order, slot after slot,
+    and stay ``in_order`` without another exchange; rows of a stored table do not.
+    """
 
     def column(name, source):
         if isinstance(source, tuple):
@@ -18,7 +22,8 @@ def show(df: DataFrame, order: list, spec: dict) -> DataFrame:
             return F.round(source, digits).alias(name)
         return F.col(source).alias(name)
 
-    return df.orderBy(*order).select(*[column(n, s) for n, s in spec.items()])
+    rows = df if in_order else df.orderBy(*order)
+    return rows.select(*[column(n, s) for n, s in spec.items()])
 
 
 def _same(*names: str) -> dict:
@@ -92,16 +97,16 @@ def voltage_concentration(performance: DataFrame) -> DataFrame:
 
 
 def risk_locations(
-    performance: DataFrame, settings: S.GridSettings = S.DEFAULTS
+    performance: DataFrame, settings: S.GridSettings = S.DEFAULTS, in_order: bool = False
 ) -> DataFrame:
-    """Q1: buses with a low or severe voltage, by their rank among all buses."""
+    """Q1: buses with a low or severe voltage, by their rank among all buses; ``in_order`` as in ``show``."""
     at_risk = performance.filter(F.col("voltage_status").isin(*settings.risk_statuses))
     return show(at_risk, [F.col("voltage_risk_rank")], {
         **_same("bus_name", "network_level"),
         "average_voltage_v": ("voltage_average_v", 2),
         "voltage_deviation_percent": ("voltage_deviation_percent", 2),
         **_same("voltage_status", "voltage_risk_rank"),
-    })
+    }, in_order)
 
 
 def pump_contribution(contribution: DataFrame) -> DataFrame:
@@ -133,11 +138,11 @@ _DEMAND = {
 }
 
 
-def asset_demand_report(demand: DataFrame) -> DataFrame:
-    """Q3: network assets by apparent power."""
+def asset_demand_report(demand: DataFrame, in_order: bool = False) -> DataFrame:
+    """Q3: network assets by apparent power; ``in_order`` as in ``show``."""
     return show(
         demand, [_high("apparent_power_kva"), _low("element_name")],
-        {**_DEMAND, "power_factor": ("power_factor", 3)},
+        {**_DEMAND, "power_factor": ("power_factor", 3)}, in_order,
     )
 
 
@@ -177,15 +182,15 @@ def transformer_capacity(transformers: DataFrame) -> DataFrame:
     })
 
 
-def unbalance_hotspots(hotspots: DataFrame) -> DataFrame:
-    """Q6: buses by unbalance rank."""
+def unbalance_hotspots(hotspots: DataFrame, in_order: bool = False) -> DataFrame:
+    """Q6: buses by unbalance rank; ``in_order`` as in ``show``."""
     return show(hotspots, [F.col("unbalance_rank")], {
         **_same("unbalance_rank", "bus_name"),
         "positive_sequence_voltage_v": ("positive_sequence_voltage_v", 2),
         "voltage_unbalance_percent": ("voltage_unbalance_percent", 3),
         "nema_unbalance_percent": ("nema_unbalance_percent", 3),
         **_same("unbalance_status"),
-    })
+    }, in_order)
 
 
 def moderate_unbalance(hotspots: DataFrame) -> DataFrame:
@@ -225,9 +230,12 @@ def executive_snapshot(kpi: DataFrame) -> DataFrame:
 
 
 def bus_profile(
-    performance: DataFrame, deterioration: DataFrame, hotspots: DataFrame
+    performance: DataFrame, deterioration: DataFrame, hotspots: DataFrame, names: DataFrame | None = None
 ) -> DataFrame:
-    """Voltage, deterioration and unbalance side by side, one bus name each."""
+    """Voltage, deterioration and unbalance side by side, one bus name each.
+
+    ``names`` as ``fact_names`` of ``left_star``, where ``performance`` is not stored.
+    """
     return left_star(performance, [
         deterioration.select(
             "bus_name", "voltage_change_from_dt_side_v", "voltage_change_from_dt_side_percent"
@@ -235,7 +243,7 @@ def bus_profile(
         hotspots.select(
             "bus_name", "voltage_unbalance_percent", "nema_unbalance_percent", "unbalance_status"
         ),
-    ], "bus_name")
+    ], "bus_name", names)
 
 
 def low_voltage_profile(
@@ -243,10 +251,11 @@ def low_voltage_profile(
     deterioration: DataFrame,
     hotspots: DataFrame,
     settings: S.GridSettings = S.DEFAULTS,
+    names: DataFrame | None = None,
 ) -> DataFrame:
     """The bus profile of the low-voltage level alone."""
     low = performance.filter(F.col("network_level") == settings.low_voltage_level)
-    return bus_profile(low, deterioration, hotspots)
+    return bus_profile(low, deterioration, hotspots, names)
 
 
 def priority_locations(
@@ -254,9 +263,10 @@ def priority_locations(
     deterioration: DataFrame,
     hotspots: DataFrame,
     settings: S.GridSettings = S.DEFAULTS,
+    names: DataFrame | None = None,
 ) -> DataFrame:
     """Q8: low-voltage buses from the lowest deviation up."""
-    profile = low_voltage_profile(performance, deterioration, hotspots, settings)
+    profile = low_voltage_profile(performance, deterioration, hotspots, settings, names)
     return show(profile, [_low("voltage_deviation_percent"), _low("bus_name")], {
         **_same("bus_name", "network_level"),
         "voltage_deviation_percent": ("voltage_deviation_percent", 2),

@@ -88,3 +88,18 @@ def test_audit_counts_the_mart_it_names(spark, monkeypatch):
     after = {r["table_name"]: r for r in QUERIES["audit_row_counts"](spark, SF).collect()}
     assert [t for t in before if before[t] != after[t]] == ["voltage_performance"]
     assert 3 in after["voltage_performance"].asDict().values()
+
+
+@pytest.mark.parametrize("name", ["report_q6_hotspots", "report_q3_assets", "report_q1_risk_locations"])
+def test_reports_of_ranked_rows_sort_no_second_time(spark, monkeypatch, name):
+    from feederlens.operators import ranking
+
+    monkeypatch.setattr(ranking, "ROWS_PER_SLOT", (20, 40))
+    report = QUERIES[name](spark, SF)
+    rank = next(c for c in report.columns if c.endswith("rank"))
+    found = [r[rank] for r in report.collect()]
+    assert found == sorted(found) and len(found) > 20
+    plan = executed(report)
+    # The removal of copies, then the ranking's one exchange of rows.
+    assert "rangepartitioning" not in plan
+    assert plan[plan.index("Final Plan"):plan.index("\n+- == Initial Plan ==")].count("Exchange shufflepartitionidpassthrough") >= 1

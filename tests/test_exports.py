@@ -1,6 +1,6 @@
 import pytest
 
-from feederlens.plans import silver
+from feederlens.plans import audits, silver
 from feederlens.sources import exports as X
 from feederlens.sources.tables import create_layers, save_table
 
@@ -114,6 +114,31 @@ def test_short_rows_end_in_missing_cells(spark, tmp_path):
     assert found == [("A", "1", None), ("B", "2", "3")]
 
 
+def test_long_rows_show_whatever_is_read(spark, tmp_path):
+    (tmp_path / "long.csv").write_bytes(b"Bus,V1,V2\nA,1,2\nB,3,4,5\nC,6\n")
+    export = X.read_export(spark, str(tmp_path))
+    for read in (export.count, export.select("V1").collect, export.select("V2").distinct().count):
+        with pytest.raises(Exception, match="more cells"):
+            read()
+
+
+def test_long_rows_are_set_aside(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes(b'Bus,V1,V2\nA,1,2\nB,3,4,5\n,,\nC,6\n"D,d",7,8,9,"x\xfc"\nE,1,1\n')
+    (tmp_path / "b.csv").write_bytes(b"Bus,V1,V2\nF,1,2\n")
+    (tmp_path / "c.csv").write_bytes(b"Bus,V1,V2\nG,1,2,\nH,1,2,3\n")
+    good = X.raw_table(X.read_export(spark, str(tmp_path), bad_rows="set_aside"))
+    assert sorted((r.Bus, r.V1) for r in good.collect()) == [("A", "1"), ("C", "6"), ("E", "1"), ("F", "1"), ("G", "1")]
+    assert good.count() == 5 and good.select("V2").where("V2 = '4'").isEmpty()
+    aside = X.set_aside_exports(spark, str(tmp_path.parent), {"voltages": tmp_path.name})
+    assert sorted(map(tuple, aside.collect())) == [
+        ("voltages", "a.csv", 2, "B,3,4,5"), ("voltages", "a.csv", 5, '"D,d",7,8,9,"x\xfc"'), ("voltages", "c.csv", 2, "H,1,2,3"),
+    ]
+    counted = audits.audit_malformed(aside)
+    assert sorted(map(tuple, counted.collect())) == [("voltages", "a.csv", 2, 2), ("voltages", "c.csv", 1, 2)]
+    with pytest.raises(ValueError, match="bad_rows"):
+        X.read_export(spark, str(tmp_path), bad_rows="drop")
+
+
 @pytest.mark.parametrize("files", [
     {"long.csv": b"Bus,V1,V2\nA,1,2\nB,3,4,5\n"},
     {"a.csv": b"Bus,V1,V2\nA,1,2\n", "b.csv": b"Bus,V2,V1\nB,3,4\n"},

@@ -5,6 +5,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import Window, functions as F
 
+from feederlens.functions.picks import exact_mean, exact_sum
 from feederlens.operators import ranking as R
 
 
@@ -85,23 +86,72 @@ def test_rows_equal_in_the_whole_key_are_numbered_once(spark):
     assert by_rank == [(i + 1, 0 if i < 2000 else 1) for i in range(3000)]
 
 
-def test_a_hot_value_is_split_by_its_ties(measures):
-    hot = measures.withColumn("x", F.lit(3.0))
-    cuts, copies = R._cut_points(hot, R._key("x", False, ["name", "id"]), 12, 6000)
-    assert not copies
-    sizes = [r["count"] for r in
-             R._with_slot(hot, R._key("x", False, ["name", "id"]), cuts).groupBy("_slot").count().collect()]
-    assert len(sizes) == 12 and max(sizes) < 2 * 6000 / 12
+def slotted(df, descending, ties, slots):
+    survey = R._survey(df, "x", descending)
+    cuts, copies = R._cut_points(df, survey, "x", descending, ties, slots)
+    sizes = [r["count"] for r in R._with_slot(df, cuts, "x", descending, ties).groupBy("_slot").count().collect()]
+    return cuts, copies, sizes
+
+
+@pytest.mark.parametrize("descending", [False, True])
+@pytest.mark.parametrize("value", [3.0, None, float("nan")])
+def test_a_hot_value_is_split_by_its_ties(measures, value, descending):
+    hot = measures.withColumn("x", F.lit(value).cast("double"))
+    cuts, copies, sizes = slotted(hot, descending, ["name", "id"], 12)
+    assert not copies and sum(sizes) == 6000
+    assert 10 <= len(sizes) <= 14 and max(sizes) < 2 * 6000 / 12
+    assert cuts.slots >= len(sizes)
+
+
+@pytest.mark.parametrize("descending", [False, True])
+def test_slots_are_even_with_and_without_hot_values(spark, measures, descending):
+    _, copies, sizes = slotted(measures, descending, ["name", "id"], 20)
+    assert not copies and sum(sizes) == 6000 and max(sizes) < 2.5 * 6000 / 20
+    plain = spark.range(100_000).select("id", (F.xxhash64("id") % 1000).alias("x"))
+    _, copies, sizes = slotted(plain, descending, ["id"], 40)
+    assert not copies and 38 <= len(sizes) <= 44 and max(sizes) < 1.5 * 100_000 / 40
+
+
+def jobs_of(spark, run):
+    """Jobs that ``run`` starts; without adaptive execution a query is one job."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.sparkContext.setJobGroup("counted", "")
+    try:
+        run()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup("counted"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def executed_plan(df):
+    """The plan as it ran, with the exchanges that were read again."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan[plan.index("Final Plan"):plan.index("\n+- == Initial Plan ==")]
+
+
+def test_the_input_is_read_twice(spark, tmp_path):
+    """Once for rows and cut points, once for the rows themselves; one job when the plan is built."""
+    spark.range(60_000).select("id", (F.xxhash64("id") % 5000).cast("double").alias("x")).repartition(4).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    found = {}
+    assert jobs_of(spark, lambda: found.setdefault("r", R.ordered_totals(
+        df, "x", ties=["id"], rank="r", running={"s": "x"}, slots=12))) == 1
+    ranked = found["r"].select("*")
+    plan = executed_plan(ranked)
+    assert plan.count("FileScan") == 1 and plan.count("ReusedExchange") == 1
+    assert ranked.count() == 60_000
 
 
 def test_the_bucketed_plan_moves_rows_once_and_not_into_one_task(measures):
-    ranked = R.global_rank(measures, "x", "r", ties=["name", "id"], slots=12)
-    plan = ranked._jdf.queryExecution().executedPlan().toString()
+    plan = executed_plan(R.global_rank(measures, "x", "r", ties=["name", "id"], slots=12))
     single = plan.index("Exchange SinglePartition")
     # The only single-partition step is over per-slot counts.
     assert plan.count("Exchange SinglePartition") == 1
     assert "HashAggregate(keys=[_slot" in plan[single:].splitlines()[1]
-    assert plan.count("shufflepartitionidpassthrough") == 1
+    moved = [line for line in plan.splitlines() if "shufflepartitionidpassthrough" in line]
+    assert len(moved) == 2 and sum("ReusedExchange" in line for line in moved) == 1
     assert "Python" not in plan and "BatchEval" not in plan
 
 
@@ -125,14 +175,14 @@ def test_number_of_slots(total, cores, slots):
     assert R._slots_for(total, cores) == slots
 
 
-def test_the_largest_number_of_slots(spark):
-    df = spark.range(400_000).select("id", F.pmod(F.xxhash64("id"), F.lit(10**6)).cast("double").alias("x"))
-    cuts, copies = R._cut_points(df, R._key("x", True, ["id"]), R.MAX_SLOTS, 400_000)
-    assert not copies and len(cuts) == R.MAX_SLOTS - 1
+def test_many_slots(spark):
+    df = spark.range(150_000).select("id", F.pmod(F.xxhash64("id"), F.lit(10**6)).cast("double").alias("x"))
+    cuts, copies, sizes = slotted(df, True, ["id"], 1000)
+    assert not copies and len(cuts.images) > R.MAX_NESTED and max(sizes) < 8 * 150
     ranked = R.global_rank(df, "x", "r", descending=True, ties=["id"], slots=500)
     plain = R.global_rank(df, "x", "p", descending=True, ties=["id"], slots=1)
     assert ranked.join(plain, "id").filter("r != p").count() == 0
-    assert ranked.count() == 400_000
+    assert ranked.count() == 150_000
 
 
 TYPED = {
@@ -176,3 +226,39 @@ def test_ties_that_other_columns_tell_apart_are_not_stored(spark, monkeypatch):
     ranked = R.global_rank(df, "x", "place", slots=8)
     assert ranked.columns == ["id", "x", "place"]
     assert sorted(r["place"] for r in ranked.collect()) == list(range(1, 20_001))
+
+
+@pytest.mark.parametrize("partitions", [1, 8, 60])
+def test_sums_have_the_same_bits_for_any_partitions(spark, partitions):
+    """Fractions that binary sums round differently in every order, and a value too large for a decimal."""
+    data = [(i, 0.1 * (i % 97) + 1e-7 * i, -1e9 / (i % 13 + 1)) for i in range(4000)]
+    df = spark.createDataFrame(data, "id int, x double, y double").repartition(partitions)
+    exact = {n: sum((Decimal(repr(r[k])) for r in data), Decimal(0)) for n, k in (("x", 1), ("y", 2))}
+    total = df.agg(exact_sum("x").alias("x"), exact_sum("y").alias("y"), exact_mean("x").alias("m")).first()
+    assert (total.x, total.y) == (float(exact["x"]), float(exact["y"])) and total.m == total.x / 4000
+    so_far, want = Decimal(0), {}
+    for i, x, _ in data:
+        so_far += Decimal(repr(x))
+        want[i] = float(so_far)
+    for slots in (1, 7, 40):
+        found = R.ordered_totals(df, "id", ties=[], rank="r", running={"s": "x"}, slots=slots)
+        assert found.columns == ["id", "x", "y", "s", "r"]
+        assert {r.id: r.s for r in found.collect()} == want
+    ranked = df.withColumn("r", F.col("id") + 1)
+    assert {r.id: r.s for r in R.running_by_rank(ranked, "r", {"s": "x"}).collect()} == want
+
+
+def test_sums_beyond_decimals_are_plain_sums(spark):
+    df = spark.createDataFrame([(1, 1.5), (2, 1e300), (3, None), (4, 2.0)], "id int, x double")
+    assert df.agg(exact_sum("x")).first()[0] == 1e300
+    assert df.where("id = 3").agg(exact_sum("x"), exact_mean("x")).first()[:] == (None, None)
+    for slots in (1, 3):
+        found = R.ordered_totals(df, "id", running={"s": "x"}, slots=slots).collect()
+        assert {r.id: r.s for r in found} == {1: 1.5, 2: 1e300, 3: 1e300, 4: 1e300}
+
+
+@pytest.mark.parametrize("descending", [False, True])
+def test_ranked_rows_lie_in_rank_order(measures, descending):
+    ranked = R.global_rank(measures, "x", "r", descending, ["name", "id"], slots=12)
+    assert [r.r for r in ranked.collect()] == list(range(1, 6001))
+    assert "rangepartitioning" not in ranked._jdf.queryExecution().executedPlan().toString()
