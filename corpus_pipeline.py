@@ -4,9 +4,10 @@ Each stage applies one operator to all that the stage before kept. Stages hand
 on the columns of ``documents``; the last gives the pieces of the sequences.
 Where an operator changes the text, ``n_chars`` follows it.
 
-Stages set the session's rows per Arrow batch to ``ROWS_PER_BATCH``: whole
-texts in batches of Spark's ten thousand rows take memory on both sides of the
-pipe, twice where a batch carries the row beside its text.
+Stages set the session's rows per Arrow batch to ``ROWS_PER_BATCH``, which
+``run`` sets back: whole texts in batches of Spark's ten thousand rows take
+memory on both sides of the pipe, twice where a batch carries the row beside
+its text. A stage called by itself leaves its frame to be run with that setting.
 """
 
 from __future__ import annotations
@@ -20,12 +21,13 @@ from feederlens.llm import contamination, line_dedup, minhash, packing, quality
 from feederlens.llm.scratch import Scratch, table
 
 ROWS_PER_BATCH = 1000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def in_small_batches(stage: Callable) -> Callable:
     @wraps(stage)
     def set_then_run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_PER_BATCH)
+        spark.conf.set(_BATCH, ROWS_PER_BATCH)
         return stage(spark, docs, sf_dir)
 
     return set_then_run
@@ -78,6 +80,10 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each written as Parquet and read by the next."""
     scratch = Scratch(spark)
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = scratch.keep(stage(spark, docs, sf_dir), name)
+    before = spark.conf.get(_BATCH)
+    try:
+        for name, stage in STAGES:
+            docs = scratch.keep(stage(spark, docs, sf_dir), name)
+    finally:
+        spark.conf.set(_BATCH, before)
     return docs
