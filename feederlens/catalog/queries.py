@@ -116,8 +116,16 @@ class Grid:
 
     @cached_property
     def bus_names(self):
-        """Names as the voltage export has them, for counting; reads one column and computes nothing else."""
-        return self.projected("g_voltages").select(N.strip(F.col("Bus")).alias("bus_name"))
+        """Names of the profile's three tables as the exports have them, for counting; one column each.
+
+        Cleaning keeps a row of every name, and the low-voltage level is what lies under the lowest nominal.
+        """
+        voltages, unbalance = self.projected("g_voltages"), self.projected("g_seqvoltages")
+        low = voltages.where(F.col("BasekV") < SETTINGS.snap_below_kv)
+        name = N.strip(F.col("Bus"))
+        return [
+            df.select(F.when(name != "", name).alias("bus_name")) for df in (voltages, low, unbalance)
+        ]
 
     @cached_property
     def built(self):

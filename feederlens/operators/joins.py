@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
-from math import prod
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 #: A name is split if its result fills more than this part of a mean partition, into cells of a quarter of that.
 SPLIT_FROM = 0.25
@@ -17,7 +17,7 @@ MOST_TRACKED = 1_000_000
 
 
 def left_star(
-    fact: DataFrame, sides: list[DataFrame], key: str, fact_names: DataFrame | None = None
+    fact: DataFrame, sides: list[DataFrame], key: str, names: Sequence[DataFrame] | None = None
 ) -> DataFrame:
     """Left-join every side to the fact table on one key, keeping all matches.
 
@@ -29,43 +29,41 @@ def left_star(
     match nothing, are spread over all tasks.
 
     Which keys these are is part of the plan: one aggregate over the key column
-    of each input, and no job when the plan is built. Where ``fact`` is costly
-    to compute for that, ``fact_names`` is any frame with the same column whose
-    counts are about the same; the counts only decide on the split.
+    of each input, and no job when the plan is built. Where inputs are costly to
+    compute for that, ``names`` are other frames to count, one for each input,
+    with about as many rows of a key; keys of a side's must be in that side.
     """
     partitions = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     inputs = [fact, *sides]
-    grid = _grid([fact_names or fact, *sides], key, partitions)
-    parts = [F.coalesce(f"_parts{i}", F.lit(1)) for i in range(len(inputs))]
-    dealt = [_dealt(df, i, grid, key, parts, partitions) for i, df in enumerate(inputs)]
+    grid = _grid(inputs if names is None else list(names), key, partitions)
+    dealt = [_dealt(df, i, grid, key, len(inputs), partitions) for i, df in enumerate(inputs)]
     joined = reduce(lambda rows, side: rows.join(side, [key, "_cell"], "left"), dealt)
     # Every row of a key meets all parts of a side; only where the side is whole does no match mean none.
-    for i in range(1, len(inputs)):
-        joined = joined.where((parts[i] == 1) | F.col(f"_there{i}"))
-    return joined.select(*fact.columns, *[c for s in sides for c in s.columns if c != key])
+    met = " AND ".join(f"(coalesce(_parts{i}, 1) = 1 OR _there{i})" for i in range(1, len(inputs))) or "true"
+    return joined.where(met).select(*fact.columns, *[c for s in sides for c in s.columns if c != key])
 
 
-def _dealt(df: DataFrame, i: int, grid: DataFrame, key: str, parts: list[Column], partitions: int) -> DataFrame:
-    """Rows of input ``i`` with the cells they go to, a row for each; cells are numbered with the last input's parts fastest."""
-    # By value, so a recomputed task splits the same way. Whole-row copies
-    # stay together; dedupe() removes them earlier.
-    place = F.xxhash64(*df.columns)
-    after, own = prod(parts[i + 1 :], start=F.lit(1)), parts[i]
-    part = F.pmod(F.col("_place"), own)
+# Expressions are SQL text here: each step of one built from columns is a call to the JVM.
 
-    def cell(x):
-        return F.floor(x / after) * own * after + part * after + x % after
+def _named(*columns: str) -> str:
+    return ", ".join("`" + c.replace("`", "``") + "`" for c in columns)
 
-    others = F.sequence(F.lit(0), (prod(parts, start=F.lit(1)) / own).cast("int") - 1)
-    one = F.lit(0).cast("bigint")
-    cells = F.when(F.col("_parts0").isNull(), F.array(one)).otherwise(F.transform(others, lambda x: cell(x).cast("bigint")))
-    if i == 0:
-        cells = F.when(F.col(key).isNull(), F.array(F.pmod("_place", F.lit(partitions)))).otherwise(cells)
-    dealt = df.withColumn("_place", place).join(grid, key, "left").withColumn("_cell", F.explode(cells))
-    names = [f"_parts{k}" for k in range(len(parts))]
+
+def _dealt(df: DataFrame, i: int, grid: DataFrame, key: str, n: int, partitions: int) -> DataFrame:
+    """Rows of input ``i`` with the cells they go to, a row for each; cells are numbered with the last input's parts fastest."""
+    parts = [f"_parts{k}" for k in range(n)]
+    own, after, others = parts[i], " * ".join(parts[i + 1 :] or ["1"]), " * ".join(parts[:i] + parts[i + 1 :] or ["1"])
+    cells = (
+        f"CASE WHEN _parts0 IS NULL THEN array(0L) ELSE transform(sequence(0L, bigint({others}) - 1), x -> "
+        f"(x div ({after})) * {own} * ({after}) + pmod(_place, {own}) * ({after}) + x % ({after})) END"
+    )
     if i == 0:
-        return dealt.drop("_place")
-    return dealt.drop("_place", *names).withColumn(f"_there{i}", F.lit(True))
+        cells = f"CASE WHEN {_named(key)} IS NULL THEN array(pmod(_place, {partitions}L)) ELSE {cells} END"
+    # The place by value, so a recomputed task splits the same way. Whole-row copies
+    # stay together; dedupe() removes them earlier.
+    placed = df.selectExpr("*", f"xxhash64({_named(*df.columns)}) AS _place").join(grid, key, "left")
+    kept = [_named(c) for c in df.columns]
+    return placed.selectExpr(*kept, *(parts if i == 0 else [f"true AS _there{i}"]), f"explode({cells}) AS _cell")
 
 
 def _frequent(df: DataFrame, key: str, partitions: int) -> DataFrame:
@@ -78,8 +76,8 @@ def _frequent(df: DataFrame, key: str, partitions: int) -> DataFrame:
     tracked = min(MOST_TRACKED, 16 * wanted)
     return (
         df.select(F.col(key).alias("name")).where("name IS NOT NULL")
-        .agg(F.expr(f"approx_top_k(name, {wanted}, {tracked})").alias("names"), F.count("*").alias("total"))
-        .select("total", F.inline("names")).select(F.col("item").alias("name"), F.col("count").alias("rows"), "total")
+        .agg(F.expr(f"approx_top_k(name, {wanted}, {tracked})").alias("names"), F.expr("count(*)").alias("total"))
+        .selectExpr("total", "inline(names)").selectExpr("item AS name", "count AS rows", "total")
     )
 
 
@@ -90,29 +88,29 @@ def _grid(inputs: list[DataFrame], key: str, partitions: int) -> DataFrame:
     """
     n = len(inputs)
     frequent = reduce(DataFrame.unionByName, [
-        _frequent(df, key, partitions).withColumn("input", F.lit(i)) for i, df in enumerate(inputs)
+        _frequent(df, key, partitions).selectExpr("*", f"{i} AS input") for i, df in enumerate(inputs)
     ])
-    of_input = [F.max(F.when(F.col("input") == i, F.col("rows"))) for i in range(n)]
     named = frequent.groupBy("name").agg(
-        *[F.coalesce(rows, F.lit(1)).cast("double").alias(f"_rows{i}") for i, rows in enumerate(of_input)],
-        F.max(F.when(F.col("input") == 0, F.col("total"))).alias("_fact_rows"),
+        *[F.expr(f"double(coalesce(max(rows) FILTER (WHERE input = {i}), 1))").alias(f"_rows{i}") for i in range(n)],
+        F.expr("max(total) FILTER (WHERE input = 0)").alias("_fact_rows"),
     )
-    result = prod((F.col(f"_rows{i}") for i in range(n)), start=F.lit(1.0))
-    named = named.withColumn("_result", result)
-    # Rows of the whole result: the fact table's, and what frequent names add.
-    everything = Window.partitionBy()
-    total = F.coalesce(F.max("_fact_rows").over(everything), F.lit(0)) + F.sum(F.col("_result") - F.col("_rows0")).over(everything)
-    named = named.withColumn("_split_from", total * SPLIT_FROM / partitions)
-    hot = named.where(F.col("_result") > F.greatest("_split_from", F.lit(1)))
-    left = hot.withColumn("_left", F.ceil(F.col("_result") / F.col("_split_from") * CELLS_PER_SPLIT))
+    rows = [f"_rows{i}" for i in range(n)]
+    hot = named.selectExpr(
+        "name", *rows, f"{' * '.join(rows)} AS _result",
+        # Rows of the whole result: the fact table's, and what frequent names add.
+        f"(coalesce(max(_fact_rows) OVER (), 0) + sum({' * '.join(rows)} - _rows0) OVER ()) * {SPLIT_FROM} / {partitions} AS _split_from",
+    ).where("_result > greatest(_split_from, 1)")
+    steps = [f"ceil(_result / _split_from * {CELLS_PER_SPLIT}) AS _left0"]
     for i in range(n):
         # What is dealt into parts is repeated along the others' parts: near the square root, repeating costs both the least.
-        rest = prod((F.col(f"_rows{j}") for j in range(i + 1, n)), start=F.lit(1.0))
-        even = F.ceil(F.sqrt(F.col("_left") * F.col(f"_rows{i}") / rest))
-        parts = F.greatest(F.lit(1), F.least(even, "_left", F.col(f"_rows{i}").cast("bigint"))).cast("int")
-        left = left.withColumn(f"_parts{i}", parts)
-        left = left.withColumn("_left", F.ceil(F.col("_left") / F.col(f"_parts{i}")))
-    return F.broadcast(left.select(F.col("name").alias(key), *[f"_parts{i}" for i in range(n)]))
+        rest = " * ".join(rows[i + 1 :] or ["1"])
+        even = f"ceil(sqrt(_left{i} * _rows{i} / ({rest})))"
+        steps += [
+            f"int(greatest(1, least({even}, _left{i}, bigint(_rows{i})))) AS _parts{i}",
+            f"ceil(_left{i} / _parts{i}) AS _left{i + 1}",
+        ]
+    split = hot.selectExpr(f"name AS {_named(key)}", *steps)
+    return F.broadcast(split.select(key, *[f"_parts{i}" for i in range(n)]))
 
 
 def with_values(df: DataFrame, one_row: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 from feederlens.plans.reports import SNAPSHOT, bus_profile, low_voltage_profile
@@ -17,7 +19,7 @@ def _rounded(df: DataFrame, spec: dict) -> DataFrame:
 
 
 def network_health(
-    performance: DataFrame, deterioration: DataFrame, hotspots: DataFrame, names: DataFrame | None = None
+    performance: DataFrame, deterioration: DataFrame, hotspots: DataFrame, names: Sequence[DataFrame] | None = None
 ) -> DataFrame:
     """Every bus with voltage, downstream change and unbalance."""
     return _rounded(bus_profile(performance, deterioration, hotspots, names), {
@@ -75,7 +77,7 @@ def priority_locations(
     deterioration: DataFrame,
     hotspots: DataFrame,
     settings: S.GridSettings = S.DEFAULTS,
-    names: DataFrame | None = None,
+    names: Sequence[DataFrame] | None = None,
 ) -> DataFrame:
     """Low-voltage buses with voltage, downstream change and unbalance."""
     profile = low_voltage_profile(performance, deterioration, hotspots, settings, names)

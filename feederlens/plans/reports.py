@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 from feederlens.functions.bands import first_match
@@ -230,11 +232,11 @@ def executive_snapshot(kpi: DataFrame) -> DataFrame:
 
 
 def bus_profile(
-    performance: DataFrame, deterioration: DataFrame, hotspots: DataFrame, names: DataFrame | None = None
+    performance: DataFrame, deterioration: DataFrame, hotspots: DataFrame, names: Sequence[DataFrame] | None = None
 ) -> DataFrame:
     """Voltage, deterioration and unbalance side by side, one bus name each.
 
-    ``names`` as ``fact_names`` of ``left_star``, where ``performance`` is not stored.
+    ``names`` as in ``left_star``, where the tables are not stored.
     """
     return left_star(performance, [
         deterioration.select(
@@ -251,7 +253,7 @@ def low_voltage_profile(
     deterioration: DataFrame,
     hotspots: DataFrame,
     settings: S.GridSettings = S.DEFAULTS,
-    names: DataFrame | None = None,
+    names: Sequence[DataFrame] | None = None,
 ) -> DataFrame:
     """The bus profile of the low-voltage level alone."""
     low = performance.filter(F.col("network_level") == settings.low_voltage_level)
@@ -263,7 +265,7 @@ def priority_locations(
     deterioration: DataFrame,
     hotspots: DataFrame,
     settings: S.GridSettings = S.DEFAULTS,
-    names: DataFrame | None = None,
+    names: Sequence[DataFrame] | None = None,
 ) -> DataFrame:
     """Q8: low-voltage buses from the lowest deviation up."""
     profile = low_voltage_profile(performance, deterioration, hotspots, settings, names)
