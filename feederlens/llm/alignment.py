@@ -28,15 +28,17 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from feederlens.llm import units
+from feederlens.llm import grams, units
 from feederlens.llm.scratch import Scratch
 
 PIECES = "piece_bpe_32k.model"
 SPACE = "▁"
 
 #: A block ends with this many distinct units or, repeated ones too, units.
-BLOCK_DISTINCT = 300_000
+BLOCK_DISTINCT = 250_000
 BLOCK_UNITS = 4_000_000
+#: Units whose matrices are held at once.
+UNITS_AT_ONCE = 10_000
 #: Pairs in a row of the stored blocks.
 PAIRS_PER_ROW = 10_000
 
@@ -252,10 +254,12 @@ class _Block:
     def _numbers_of(self, distinct: list[str]) -> np.ndarray:
         numbers = list(map(self.slot.get, distinct))
         missing = [u for u, n in zip(distinct, numbers, strict=True) if n is None]
+        for at in range(0, len(missing), UNITS_AT_ONCE):
+            some = missing[at : at + UNITS_AT_ONCE]
+            raw = [(u if u[:1] == "\n" else " " + u).encode() for u in some]
+            self.slot.update(zip(some, range(len(self.groups), len(self.groups) + len(some)), strict=True))
+            self._keep(align(raw, self.both, *self.both.of_units(some)))
         if missing:
-            raw = [(u if u[:1] == "\n" else " " + u).encode() for u in missing]
-            self.slot.update(zip(missing, range(len(self.groups), len(self.groups) + len(missing)), strict=True))
-            self._keep(align(raw, self.both, *self.both.of_units(missing)))
             numbers = list(map(self.slot.get, distinct))
         return np.array(numbers, np.int64)
 
@@ -327,7 +331,7 @@ def _blocks(docs: DataFrame) -> DataFrame:
         block, done = _Block(first, _BOTH[0]), 0
         for batch in batches:
             at = 0
-            for texts in units.slices(batch.column(1)):
+            for texts in units.slices(batch.column(1), 4_000_000):
                 block.add(batch.column(0).slice(at, len(texts)).to_pylist(), texts)
                 at += len(texts)
                 if block.full:
@@ -337,7 +341,7 @@ def _blocks(docs: DataFrame) -> DataFrame:
         if block.documents:
             yield from block.stored()
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(blocks, STORED)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(grams.tidied(blocks), STORED)
 
 
 def _documents(stored: pa.Table, counted: pa.Table) -> pa.Table:

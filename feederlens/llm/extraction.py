@@ -3,11 +3,12 @@
 Every block element of a page is a variable, article or not. What is observed
 of it (kind of tag, words of class, id and role, share of linked text, size,
 sentence marks) depends on its state, and its state on its parent's and on the
-kind of tag that leads there. Sum-product messages go from the leaves to the root
+kind of tag that leads there. The page as a whole is the root, article itself
+where the text stands right in the body; text between blocks is a block. Sum-product messages go from the leaves to the root
 and back, which gives every element's exact marginal; the text of the blocks
 whose element is more likely article than not is the page's main text. The
 tables are counted, with add-one smoothing, on the labelled pages of
-``html_labels``; they are small and each task fits them once.
+``html_labels``; they are small and fitted once, on the driver.
 
 A page is judged by itself: null, empty or textless html gives an empty text,
 repeated rows repeat the answer, other columns are left alone, and an empty
@@ -27,7 +28,7 @@ from feederlens.llm.html_labels import labelled_pages
 from feederlens.llm.html_tree import Node, Tree, features
 
 #: Observations are not independent of each other; each counts for so much.
-TEMPER = 0.7
+TEMPER = 0.85
 SMOOTH = 0.5
 
 
@@ -37,11 +38,13 @@ class TreeModel:
     def __init__(self, pages: list[str]):
         seen: Counter = Counter()
         states: Counter = Counter()
+        roots: Counter = Counter()
         kinds: dict[int, set[str]] = {}
         moves: Counter = Counter()
         for html in pages:
             tree = Tree(html)
-            label = {id(tree.root): 0}
+            label = {id(tree.root): tree.root.label or 0}
+            roots[label[id(tree.root)]] += 1
             observed = features(tree.nodes)
             for node, values in zip(tree.nodes, observed, strict=True):
                 if node.parent is not None:
@@ -53,6 +56,8 @@ class TreeModel:
                 for i, value in enumerate(values):
                     seen[state, value] += 1
                     kinds.setdefault(i, set()).add(value)
+        #: The root is article where a page's text stands right in its body.
+        self.root = [log((roots[s] + SMOOTH) / (len(pages) + 2 * SMOOTH)) for s in (0, 1)]
         self.moves = {}
         tags = kinds[0]
         for parent in (0, 1):
@@ -85,8 +90,7 @@ class TreeModel:
             parent = below[place[id(nodes[i].parent)]]
             parent[0] += message[i][0]
             parent[1] += message[i][1]
-        # The root is never article itself.
-        above = [[0.0, -1e9]] + [none] * (len(nodes) - 1)
+        above = [self.root] + [none] * (len(nodes) - 1)
         found = [0.0] * len(nodes)
         for i in range(len(nodes)):
             if i:
@@ -113,14 +117,14 @@ def model() -> TreeModel:
     return _MODEL[0]
 
 
-def main_text(html: str | None) -> str:
+def main_text(html: str | None, fitted: TreeModel | None = None) -> str:
     if not html:
         return ""
     tree = Tree(html)
     blocks = tree.texts()
     if not blocks:
         return ""
-    chance = dict(zip(map(id, tree.nodes), model().marginals(tree.nodes), strict=True))
+    chance = dict(zip(map(id, tree.nodes), (fitted or model()).marginals(tree.nodes), strict=True))
     return "\n".join(text for node, text in blocks if chance[id(node)] > 0.5)
 
 
@@ -128,10 +132,12 @@ def extract(pages: DataFrame) -> DataFrame:
     """``pages`` with ``text`` and ``n_chars`` of the main text of ``html``; columns of these names are replaced."""
     pages = pages.drop("text", "n_chars")
     schema = pages.select("*", F.lit("").alias("text"), F.lit(0).cast("long").alias("n_chars")).schema
+    # Some hundred numbers, fitted here and sent with the task.
+    fitted = model()
 
     def extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [main_text(h) for h in batch.column("html").to_pylist()]
+            texts = [main_text(h, fitted) for h in batch.column("html").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                 names=schema.names,

@@ -7,7 +7,13 @@ from html.parser import HTMLParser
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose text is never shown as text.
-SILENT = frozenset("script style noscript template svg math iframe object canvas audio video textarea select option datalist title head".split())
+SILENT = frozenset("script style noscript template svg math iframe object canvas audio video textarea select option datalist title".split())
+#: Of those, the ones that a block ends where they were left open.
+BROKEN_BY_BLOCKS = frozenset("svg math iframe".split())
+#: Elements that are no blocks of their own: the page's one block is the root.
+FRAMES = frozenset("html head body".split())
+#: Elements whose own text is a block; elsewhere text gets a block of its own.
+TEXTUAL = frozenset("p pre h1 h2 h3 h4 h5 h6 li dt dd blockquote figcaption address caption legend summary label button".split())
 #: Elements that do not break a line; br is white space.
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp "
@@ -22,7 +28,6 @@ _CLOSES = {
     "td": ({"td", "th"}, {"tr", "table"}),
     "th": ({"td", "th"}, {"tr", "table"}),
     "tbody": ({"thead", "tbody", "tr", "td", "th"}, {"table"}),
-    "body": ({"head"}, set()),
 }
 
 TAGS = {
@@ -33,7 +38,7 @@ TAGS = {
     "h1": "heading", "h2": "heading", "h3": "heading", "h4": "heading", "h5": "heading", "h6": "heading",
     "ul": "list", "ol": "list", "dl": "list", "li": "item", "dt": "item", "dd": "item",
     "table": "table", "tbody": "table", "thead": "table", "tr": "table", "td": "cell", "th": "cell",
-    "html": "root", "body": "root", "#root": "root", "figure": "figure",
+    "#root": "root", "#text": "text", "figure": "figure",
 }
 
 #: Words of class, id and role, and what they speak for.
@@ -52,24 +57,24 @@ _SENTENCE = ".,;:!?"
 
 
 class Node:
-    __slots__ = ("tag", "hint", "parent", "children", "runs", "chars", "linked", "marks", "label")
+    __slots__ = ("tag", "hints", "parent", "children", "runs", "chars", "linked", "marks", "label")
 
-    def __init__(self, tag: str, hint: str, parent: Node | None, label: int | None):
-        self.tag, self.hint, self.parent, self.label = tag, hint, parent, label
+    def __init__(self, tag: str, hints: frozenset[str], parent: Node | None, label: int | None):
+        self.tag, self.hints, self.parent, self.label = tag, hints, parent, label
         self.children: list[Node] = []
         self.runs: list[tuple[int, list[str]]] = []
         self.chars = self.linked = self.marks = 0
 
 
-def hint_of(attrs: list[tuple[str, str | None]]) -> str:
-    """What class, id, role and hiding of an element speak for; frames and the like go before content."""
+def hints_of(attrs: list[tuple[str, str | None]]) -> frozenset[str]:
+    """All that class, id, role and hiding of an element speak for."""
     found = set()
     for name, value in attrs:
         if name in ("class", "id", "role") and value:
-            found.update(_HINT.get(w.lower(), "") for w in _WORD.findall(value))
+            found.update(_HINT[w.lower()] for w in _WORD.findall(value) if w.lower() in _HINT)
         elif name == "hidden" or name == "style" and value and "display:none" in value.replace(" ", ""):
             found.add("notice")
-    return next((k for k in ("comment", "advert", "notice", "frame", "content") if k in found), "none")
+    return frozenset(found)
 
 
 class Tree(HTMLParser):
@@ -77,16 +82,23 @@ class Tree(HTMLParser):
 
     def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
-        self.root = Node("#root", "none", None, None)
+        self.root = Node("#root", frozenset(), None, None)
         self.nodes = [self.root]
         self.open: list[tuple[str, Node]] = []
         self.node = self.root
         self.silent = self.links = 0
         self.blocks: list[tuple[Node, list[str]]] = []
         self.run: list[str] | None = None
+        self.at = 0
+        #: By silent tag, where the page last closes one.
+        self.lowered, self.last_end = html.lower(), {}
         self.feed(html)
         self.close()
 
+    def parse_starttag(self, i):
+        self.at = i
+        return super().parse_starttag(i)
+
     def handle_starttag(self, tag, attrs):
         if tag in VOID:
             if tag == "br":
@@ -94,32 +106,53 @@ class Tree(HTMLParser):
             elif tag not in INLINE:
                 self.run = None
             return
+        label = next((int(v) for k, v in attrs if k == "data-label" and v in ("0", "1")), None)
+        if tag in FRAMES:
+            if tag != "head" and label is not None:
+                self.root.label = label
+            return
+        if tag not in INLINE and tag not in SILENT:
+            self._break_out()
         if tag not in INLINE:
             self._imply(tag)
         if tag in SILENT:
-            self.silent += 1
-            self.open.append((tag, self.node))
+            # One that nothing closes does not silence the rest of the page.
+            if self.at < self._last_end(tag):
+                self.silent += 1
+                self.open.append((tag, self.node))
             return
         if tag == "a":
             self.links += 1
         if tag not in INLINE:
-            label = next((int(v) for k, v in attrs if k == "data-label" and v in ("0", "1")), None)
-            child = Node(tag, hint_of(attrs), self.node, label)
-            self.node.children.append(child)
-            self.nodes.append(child)
-            self.open.append((tag, self.node))
-            self.node = child
+            before, self.node = self.node, self._child(tag, hints_of(attrs), label)
+            self.open.append((tag, before))
             self.run = None
         else:
             self.open.append((tag, self.node))
 
+    def _child(self, tag, hints, label) -> Node:
+        child = Node(tag, hints, self.node, label)
+        self.node.children.append(child)
+        self.nodes.append(child)
+        return child
+
+    def _last_end(self, tag) -> int:
+        if tag not in self.last_end:
+            self.last_end[tag] = self.lowered.rfind(f"</{tag}")
+        return self.last_end[tag]
+
+    def _break_out(self):
+        """A block ends drawings and embedded pages that were left open."""
+        while self.silent and self.open and (self.open[-1][0] in BROKEN_BY_BLOCKS or self.open[-1][0] in INLINE):
+            self._close_to(len(self.open) - 1)
+
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
         if tag not in VOID and tag not in SILENT:
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag):
-        if tag in VOID:
+        if tag in VOID or tag in FRAMES:
             return
         for at in range(len(self.open) - 1, -1, -1):
             if self.open[at][0] == tag:
@@ -136,12 +169,14 @@ class Tree(HTMLParser):
             if not data.strip():
                 return
             self.run = []
-            self.blocks.append((self.node, self.run))
+            # Text right in a container is a block of its own.
+            of = self.node if self.node.tag in TEXTUAL else self._child("#text", frozenset(), None)
+            self.blocks.append((of, self.run))
         self.run.append(data)
-        shown = len(data.strip())
-        self.node.chars += shown
-        self.node.linked += shown if self.links else 0
-        self.node.marks += sum(map(data.count, _SENTENCE))
+        node, shown = self.blocks[-1][0], len(data.strip())
+        node.chars += shown
+        node.linked += shown if self.links else 0
+        node.marks += sum(map(data.count, _SENTENCE))
 
     def _imply(self, tag):
         closes, until = _CLOSES.get(tag, ({"p"}, set()))
@@ -189,7 +224,7 @@ def features(nodes: list[Node]) -> list[tuple[str, ...]]:
         density = f"l{_bin(linked / chars, (0.01, 0.3, 0.6, 0.9))}" if chars else "l-"
         found.append((
             "tag:" + TAGS.get(node.tag, "other"),
-            "hint:" + node.hint,
+            *[f"{kind}:{kind in node.hints}" for kind in HINTS],
             "links:" + density,
             f"size:{_bin(chars, (1, 25, 80, 300))}",
             f"marks:{_bin(100 * marks / chars, (0.2, 1.0)) if chars else '-'}",

@@ -28,7 +28,7 @@ from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from feederlens.llm import units
+from feederlens.llm import grams, units
 from feederlens.llm.scratch import Scratch
 
 END_ID = 2
@@ -40,7 +40,7 @@ SAMPLE_CHARS = 4096
 DICTIONARY_BYTES = 64 << 10
 
 #: Compressed bytes a file should hold; bytes read at once.
-FILE_BYTES = 128 << 20
+FILE_BYTES = 64 << 20
 READ_BYTES = 8 << 20
 
 MAGIC = b"idfile01"
@@ -53,7 +53,10 @@ INDEX = (("null", "<u1"), ("doc_id", "<i8"), ("offset", "<u8"), ("n_tokens", "<u
 def train(docs: DataFrame, name: str = units.WORD_BPE) -> bytes:
     """Dictionary fitted on a bounded sample; empty if the sample is too small for one."""
     text = F.substring(F.coalesce("text", F.lit("")), 1, SAMPLE_CHARS).alias("text")
-    sample = docs.select(F.xxhash64("doc_id", "text").alias("h"), text).orderBy("h", "text").limit(SAMPLE_DOCS)
+    drawn = docs.select(F.xxhash64("doc_id", "text").alias("h"), text)
+    # Twice as many hashes as wanted lie below a bound by the number of rows; without it every task would send its smallest.
+    bound = min(1.0, 2 * SAMPLE_DOCS / max(1, docs.count())) * 2.0**64 - 2.0**63
+    sample = drawn.where(F.col("h") <= F.lit(bound)).distinct().orderBy("h", "text").limit(SAMPLE_DOCS)
     texts = pa.array([r.text for r in sample.collect()], pa.string())
     arrays = [x.tobytes() for x in _arrays(units.encoder(name), texts, id_type(name))] if len(texts) else []
     try:
@@ -88,7 +91,7 @@ def _encoded(docs: DataFrame, dictionary: bytes, name: str) -> DataFrame:
         pack = _codec(zstandard.ZstdCompressor, dictionary, level=LEVEL).compress
         for batch in batches:
             at = 0
-            for texts in units.slices(batch.column(1)):
+            for texts in units.slices(batch.column(1), 4_000_000):
                 arrays = list(_arrays(encoder, texts, dtype))
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(at, len(texts)).cast(pa.int64()),
@@ -97,7 +100,7 @@ def _encoded(docs: DataFrame, dictionary: bytes, name: str) -> DataFrame:
                 ], names=["doc_id", "n_tokens", "frame"])
                 at += len(texts)
 
-    return docs.select("doc_id", "text").mapInArrow(encode, schema)
+    return docs.select("doc_id", "text").mapInArrow(grams.tidied(encode), schema)
 
 
 class FileWriter:
@@ -241,7 +244,7 @@ def write_files(docs: DataFrame, folder: str, scratch: Scratch, name: str = unit
         .repartitionByRange(files, *order)
         .sortWithinPartitions(*order)
         .select("doc_id", "n_tokens", "frame")
-        .mapInArrow(write, "slot long, file string, n_docs long, n_ids long")
+        .mapInArrow(grams.tidied(write), "slot long, file string, n_docs long, n_ids long")
         .write.parquet(f"{folder}/manifest")
     )
     scratch.free("frames")
@@ -278,7 +281,7 @@ def read_files(spark: SparkSession, folder: str) -> DataFrame:
                         pa.array(starts[part]), pa.array(counts[part]), pa.array(crcs[part]),
                     ], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return tasks.mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return tasks.mapInArrow(grams.tidied(read), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def through_files(docs: DataFrame, name: str = units.WORD_BPE) -> DataFrame:

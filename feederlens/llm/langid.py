@@ -8,8 +8,8 @@ per language, against all others, is solved in that space. As the kernel is a
 product of presence vectors, landmarks and regression fold into one matrix, and
 a batch of texts is scored by one matrix product.
 
-The model is fitted on at most ``TRAIN_PER_LANG`` labelled rows of each
-language, drawn by a hash of doc_id; ``LANDMARKS_PER_LANG`` of them are
+The model is fitted on at most ``TRAIN_PER_LANG`` labelled rows of each of at
+most ``MAX_LANGS`` languages, drawn by a hash of doc_id; ``LANDMARKS_PER_LANG`` of them are
 landmarks. Every text is scored, as a whole.
 
 ``und`` with score 0 is the answer for null text, text without a letter, and
@@ -31,6 +31,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 ORDERS = (1, 2, 3, 4)
 BUCKETS = 1 << 15
 TRAIN_PER_LANG = 400
+#: Languages that are learnt, those of the most labelled rows; it bounds what the fit gathers, with the two numbers beside it.
+MAX_LANGS = 200
 LANDMARKS_PER_LANG = 60
 RIDGE = 1e-2
 #: Sharpness of the score: the winner's share of exp(SHARP * output).
@@ -91,7 +93,7 @@ def train(labelled: DataFrame) -> tuple | None:
         F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").rlike(r"\p{L}")
     ).withColumn("draw", F.xxhash64(F.lit("draw"), "doc_id"))
     # The rows of smallest draws: first by a bound that leaves few more than wanted, then exactly.
-    shares = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    shares = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGS)
     share = F.least(F.lit(1.0), F.lit(2.0 * TRAIN_PER_LANG) / F.col("n") + F.lit(1e-9))
     near = rows.join(F.broadcast(shares), "lang").where(
         (F.col("draw") / F.lit(2.0**64) + 0.5) <= F.greatest(share, F.lit(64.0) / F.col("n"))

@@ -15,8 +15,9 @@ all documents but that of the largest doc_id.
 
 Cleaning asks the filters first, beside the text: only lines that may be
 repeated are shuffled to the exact counts, which decide. Filters go to the
-tasks if they are small, which is checked; beyond that the exact counts are
-joined with all lines. Either way gives the same result.
+tasks if they are small, which is checked; beyond that the keys of the lines
+are dealt to their shards, each shard in ``DEALS`` parts with its filter in
+front, and asked there, batch after batch. Either way gives the same result.
 
 Null or empty text is one empty line. Rows of one doc_id count as one
 document; a null doc_id is one document that is never the largest. Counting is
@@ -42,6 +43,8 @@ MIN_CHARS = 20
 MIN_DOCS = 3
 #: Filters of up to this many bytes together go to every task.
 MAX_FILTER_BYTES = 32_000_000
+#: Beyond that, parts in which a shard's lines are asked, as one line may be in most documents.
+DEALS = 8
 
 SPACES = " \t\n\v\f\r"
 _REFS = "key binary, shard int, n_docs long, max_doc long"
@@ -118,6 +121,42 @@ def _change(key: tuple, held: pa.Table, changed: pa.Table) -> pa.Table:
     return pa.table({"shard": pa.array([key[0].as_py()], pa.int32()), "held": pa.array([one.dump()], pa.binary())})
 
 
+def _asked(lines: DataFrame, filters: DataFrame) -> DataFrame:
+    """The rows of ``lines`` whose key its shard's filter holds; one filter is held at a time."""
+    schema = "doc_id long, key binary, shard int"
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, one = None, None
+        for batch in batches:
+            places = list(zip(batch.column("shard").to_pylist(), batch.column("deal").to_pylist(), strict=True))
+            keys = batch.column("key").to_pylist()
+            wanted = np.zeros(len(keys), bool)
+            firsts = [i for i in range(len(places)) if i == 0 or places[i] != places[i - 1]]
+            for a, b in zip(firsts, [*firsts[1:], len(places)], strict=True):
+                if places[a] != place:
+                    place, one = places[a], None
+                if keys[a] is None:
+                    # The filter goes before the lines of its part.
+                    one, a = CuckooFilter.load(batch.column("held")[a].as_py()), a + 1
+                if one is not None and a < b:
+                    wanted[a:b] = one.contains(_keys64(keys[a:b]))
+            yield batch.filter(pa.array(wanted)).select(["doc_id", "key", "shard"])
+
+    deals = F.explode(F.sequence(F.lit(0), F.lit(DEALS - 1)))
+    front = filters.select(
+        F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("binary").alias("key"), "shard", "held", deals.alias("deal")
+    )
+    dealt = lines.select(
+        "doc_id", "key", "shard", F.lit(None).cast("binary").alias("held"),
+        F.pmod(F.xxhash64("doc_id"), F.lit(DEALS)).cast("int").alias("deal"),
+    )
+    return (
+        front.unionByName(dealt).repartition("shard", "deal")
+        .sortWithinPartitions("shard", "deal", F.col("key").isNotNull())
+        .mapInArrow(grams.tidied(ask), schema)
+    )
+
+
 class LineIndex:
     """Keys of the documents put in and not taken out since."""
 
@@ -196,10 +235,11 @@ class LineIndex:
     def dropped(self, docs: DataFrame, max_filter_bytes: int = MAX_FILTER_BYTES) -> DataFrame:
         """(doc_id, keys) of the keys that each document of ``docs`` loses."""
         total = self.filters.select(F.octet_length("held").alias("n")).agg(F.sum("n")).first()[0] or 0
-        held = None
         if total <= max_filter_bytes:
-            held = {r.shard: bytes(r.held) for r in self.filters.collect()}
-        lines = _line_keys(docs, self.shards, held).select("doc_id", "key").distinct()
+            found = _line_keys(docs, self.shards, {r.shard: bytes(r.held) for r in self.filters.collect()})
+        else:
+            found = _asked(_line_keys(docs, self.shards), self.filters)
+        lines = found.select("doc_id", "key").distinct()
         repeated = self.refs.where(F.col("n_docs") >= self.min_docs).select("key", "max_doc")
         return (
             lines.join(repeated, "key")

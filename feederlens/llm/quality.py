@@ -7,10 +7,12 @@ sees what repeats from far away, and each fixed chunk alone, which sees a long
 document of which much is noise or one line over and over.
 
 The bands come from the table itself (``limits``): the median ratio of all its
-distinct texts by length, and so many spreads to either side. Lengths of too
-few texts have the fixed ``BANDS`` only, which hold for all others as well. So
-the table is read twice, and a document's band, not its measures, depends on
-the others; give a stored table or another cheap plan.
+distinct texts by length, and so many spreads to either side. Lengths of few
+texts borrow from the lengths beside them, and as far as even those are few the
+band leans on the fixed ``BANDS``, which hold for all others as well: there is
+no number of texts at which it jumps. So the table is read twice, and a
+document's band, not its measures, depends on the others; give a stored table
+or another cheap plan.
 
 Null or empty text has no words and fails the base rules. Repeated rows count
 once, ties and the other columns change nothing; an empty table gives an empty
@@ -51,9 +53,11 @@ CHUNK_BAND = (0.30, 0.80)
 CHUNK_SHARE = 0.25
 LEVEL = 3
 
-#: Length classes of a doubling, and the distinct texts or chunks that one must have.
+#: Length classes of a doubling; how much less the next class counts than the one before it.
 CLASSES_PER_DOUBLING = 4
-MIN_CLASS = 50
+BORROW = 0.2
+#: With so many distinct texts or chunks, a class and what it borrows count as much as the fixed band.
+HALF_TRUST = 25
 #: Spreads (median absolute deviations) below and above the median that prose may lie.
 #: Chosen on the labels of one table, checked on those of another (README); prose with keys and numbers lies high.
 LOW_SPREADS = 4.5
@@ -73,8 +77,8 @@ MEASURES = (
 )
 _TYPES = [pa.int64()] * 5 + [pa.float64(), pa.int64(), pa.int64(), pa.bool_()]
 
-#: Log2 of length, median ratio and spread of each class, of whole texts (False) and of chunks (True).
-Limits = dict[bool, tuple[np.ndarray, np.ndarray, np.ndarray]]
+#: Log2 of length, median ratio, spread and trust (0 to 1) of each class, of whole texts (False) and of chunks (True).
+Limits = dict[bool, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
 
 
 def _lines(text: str) -> int:
@@ -119,15 +123,25 @@ def _fixed(n_bytes: int, chunk: bool) -> tuple[float, float]:
 
 def _inside(n_bytes: int, ratio: float, chunk: bool, limits: Limits) -> bool:
     """Whether a whole text or a chunk of ``n_bytes`` compresses as prose does."""
-    low, high = _fixed(n_bytes, chunk)
-    places, medians, spreads = limits.get(chunk, ((), (), ()))
-    at, margin = np.log2(n_bytes), 1 / CLASSES_PER_DOUBLING
-    if len(places) and places[0] - margin <= at <= places[-1] + margin and n_bytes > BANDS[0][0]:
-        median, spread = np.interp(at, places, medians), np.interp(at, places, spreads)
-        low, high = max(low, median - LOW_SPREADS * spread), min(high, median + HIGH_SPREADS * spread)
+    low, high = band(n_bytes, chunk, limits)
     return bool(low <= ratio <= high)
 
 
+def band(n_bytes: int, chunk: bool, limits: Limits) -> tuple[float, float]:
+    """Lowest and highest ratio of prose of this length."""
+    low, high = _fixed(n_bytes, chunk)
+    places, medians, spreads, trusts = limits.get(chunk, ((),) * 4)
+    if not len(places) or n_bytes <= BANDS[0][0]:
+        return low, high
+    at = np.log2(n_bytes)
+    median, spread, trust = (np.interp(at, places, x) for x in (medians, spreads, trusts))
+    # Lengths that the table does not have trust it the less the further they lie off.
+    off = max(places[0] - at, at - places[-1], 0.0) * CLASSES_PER_DOUBLING
+    trust = trust * BORROW**off
+    own = max(low, median - LOW_SPREADS * spread), min(high, median + HIGH_SPREADS * spread)
+    return low + trust * (own[0] - low), high + trust * (own[1] - high)
+
+
 def _measure(texts: list[str], limits: Limits) -> list[list]:
     words = [grams.split_words(t) for t in texts]
     packer = zstandard.ZstdCompressor(level=LEVEL)
@@ -193,7 +207,7 @@ def _distances(limits: Limits):
         for batch in batches:
             chunk = batch.column("chunk").to_numpy(zero_copy_only=False)
             at, far = np.log2(batch.column("n_bytes").to_numpy()), batch.column("ratio").to_numpy().copy()
-            for kind, (places, medians, _) in limits.items():
+            for kind, (places, medians, *_) in limits.items():
                 far[chunk == kind] -= np.interp(at[chunk == kind], places, medians)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("chunk"), batch.column("class"), pa.array(np.abs(far))], names=["chunk", "class", "far"]
@@ -220,25 +234,35 @@ def limits(docs: DataFrame) -> Limits:
     classes = stored.groupBy("chunk", "class").agg(
         F.count("*").alias("n"), F.sum("n_bytes").alias("n_bytes"), middle("ratio").alias("median")
     )
-    rows = classes.where(F.col("n") >= MIN_CLASS).orderBy("class").collect()
+    rows = classes.orderBy("class").collect()
     found: Limits = {}
+    shares: dict[bool, np.ndarray] = {}
     for kind in (False, True):
         own = [r for r in rows if r["chunk"] == kind]
         if own:
+            shares[kind], trust = _borrowed([r["class"] for r in own], [r["n"] for r in own])
             places = np.log2([r["n_bytes"] / r["n"] for r in own])
-            found[kind] = (places, np.array([r["median"] for r in own]), np.zeros(len(own)))
+            found[kind] = (places, shares[kind] @ [r["median"] for r in own], np.zeros(len(own)), trust)
     if not found:
         return found
     far = stored.mapInArrow(_distances(found), "chunk boolean, class long, far double")
     spread = {(r["chunk"], r["class"]): r["far"] for r in far.groupBy("chunk", "class").agg(middle("far").alias("far")).collect()}
-    for kind, (places, medians, _) in found.items():
+    for kind, (places, medians, _, trust) in found.items():
         own = [spread[kind, r["class"]] for r in rows if r["chunk"] == kind]
         # The neighbours have a say, as near copies may fill one class.
-        pooled = [np.median(own[max(0, i - 1) : i + 2]) for i in range(len(own))]
-        found[kind] = (places, medians, np.maximum(pooled, MIN_SPREAD))
+        pooled = shares[kind] @ [np.median(own[max(0, i - 1) : i + 2]) for i in range(len(own))]
+        found[kind] = (places, medians, np.maximum(pooled, MIN_SPREAD), trust)
     return found
 
 
+def _borrowed(classes: list[int], counts: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """How much each class leans on every class, and how far the table is to be trusted there."""
+    apart = np.abs(np.subtract.outer(classes, classes))
+    weight = BORROW**apart * np.array(counts, float)
+    total = weight.sum(1)
+    return weight / total[:, None], total / (total + HALF_TRUST)
+
+
 def measure(docs: DataFrame, bands: Limits | None = None) -> DataFrame:
     """``docs``, which has a column ``text``, with the measures; columns of their names are replaced."""
     names = [x.split()[0] for x in MEASURES.split(", ")]

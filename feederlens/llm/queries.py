@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from feederlens.llm import (
-    alignment, contamination, extraction, idfiles, langid, line_dedup, minhash, packing, phrases, quality, sharding,
-    tokens, trie,
+    alignment, contamination, extraction, idfiles, langid, line_dedup, minhash, oracle, packing, phrases, quality,
+    sharding, tokens, trie,
 )
 from feederlens.llm.scratch import table
 
@@ -104,4 +104,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracle.oracle_sql()

@@ -28,7 +28,7 @@ BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
 
 #: Units whose tokens a task holds at once, in two generations.
-CACHED_UNITS = 250_000
+CACHED_UNITS = 200_000
 
 #: Leads the first unit of a text, which no space precedes; texts that hold it are encoded as a whole.
 HEAD = "\x01"

@@ -374,9 +374,7 @@ def test_marginals_are_those_of_all_assignments():
     place = {id(n): i for i, n in enumerate(nodes)}
     sums = [[0.0, 0.0] for _ in nodes]
     for states in product((0, 1), repeat=len(nodes)):
-        if states[0]:
-            continue
-        total = 0.0
+        total = model.root[states[0]]
         for i, node in enumerate(nodes):
             total += sum(model.seen.get(v, [0, 0])[states[i]] for v in seen[i][1:])
             if i:

@@ -2,6 +2,8 @@
 
 import random
 
+import numpy as np
+
 from feederlens.llm import contamination, html_tree, minhash, quality, tokens
 
 
@@ -32,12 +34,78 @@ def test_quality_limits_come_from_the_table(spark):
     assert not kept & set(range(420, 440)), [len(texts[i]) for i in kept if 420 <= i < 440]
     assert len(kept & set(range(440, 460))) <= 2
     bands = quality.limits(docs)
-    assert bands.keys() == {False, True} and all((spreads >= quality.MIN_SPREAD).all() for _, _, spreads in bands.values())
-
-
-def test_quality_limits_need_enough_texts(spark):
-    few = spark.createDataFrame([(i, f"word{i} " * 30) for i in range(quality.MIN_CLASS - 1)], "doc_id long, text string")
-    assert quality.limits(few) == {}
+    assert bands.keys() == {False, True} and all((spreads >= quality.MIN_SPREAD).all() for _, _, spreads, _ in bands.values())
+
+
+def _plain_bands(texts):
+    """Median, spread and trust by class of length, worked out in plain loops."""
+    import zstandard
+
+    pack, out = zstandard.ZstdCompressor(level=quality.LEVEL).compress, {}
+    raws = {t.encode() for t in texts if t}
+    pieces = {p for r in raws for p in quality._pieces(r)}
+    for kind, parts in ((False, raws), (True, pieces)):
+        classes = {}
+        for p in parts:
+            if len(p) > quality.BANDS[0][0]:
+                classes.setdefault(int(np.floor(np.log2(len(p)) * quality.CLASSES_PER_DOUBLING)), []).append((len(p), len(pack(p)) / len(p)))
+        if not classes:
+            continue
+        keys = sorted(classes)
+        median = {c: float(np.median([round(r, 4) for _, r in classes[c]])) for c in keys}
+        weigh = {c: {d: quality.BORROW ** abs(c - d) * len(classes[d]) for d in keys} for c in keys}
+        mean = lambda x, c: sum(weigh[c][d] * x[d] for d in keys) / sum(weigh[c].values())
+        places = [np.log2(np.mean([n for n, _ in classes[c]])) for c in keys]
+        medians = [mean(median, c) for c in keys]
+        far = {c: float(np.median([round(abs(r - np.interp(np.log2(n), places, medians)), 4) for n, r in classes[c]])) for c in keys}
+        near = {c: float(np.median([far[d] for d in keys[max(0, i - 1) : i + 2]])) for i, c in enumerate(keys)}
+        spreads = [max(mean(near, c), quality.MIN_SPREAD) for c in keys]
+        trust = [sum(weigh[c].values()) / (sum(weigh[c].values()) + quality.HALF_TRUST) for c in keys]
+        out[kind] = (places, medians, spreads, trust)
+    return out
+
+
+def _prose(draw, n):
+    syllables = ["".join(draw.choice("etaoinshrdlucm") for _ in range(k)) for k in (1, 2, 2, 3, 3) for _ in range(14)]
+    return [_sentences(draw, syllables, draw.randrange(100, 9000)) for _ in range(n)]
+
+
+def test_quality_bands_by_brute_force(spark):
+    import zstandard
+
+    draw = random.Random(6)
+    texts = _prose(draw, 120) + ["#" * 3000, "".join(draw.choice("0123456789abcdef") for _ in range(5000)), "one two " * 400, "", None]
+    docs = spark.createDataFrame(list(enumerate([*texts, texts[0], texts[0]])), "doc_id long, text string")
+    found, want = quality.limits(docs.repartition(3)), _plain_bands(texts)
+    assert found.keys() == want.keys()
+    for kind in want:
+        for a, b in zip(found[kind], want[kind], strict=True):
+            # Ratios are counted to four digits; halves are rounded differently here.
+            assert np.allclose(a, b, atol=3e-4)
+    pack = zstandard.ZstdCompressor(level=quality.LEVEL).compress
+    for r in quality.judge(docs).collect():
+        raw = (r.text or "").encode()
+
+        def inside(p, chunk):
+            low, high = quality.band(len(p), chunk, found)
+            assert np.allclose((low, high), quality.band(len(p), chunk, want), atol=5e-3)
+            return low <= len(pack(p)) / len(p) <= high
+
+        outside = sum(not inside(p, True) for p in quality._pieces(raw))
+        kept = bool(raw) and not r.base_failed and inside(raw, False) and outside <= quality.CHUNK_SHARE * len(quality._pieces(raw))
+        assert r.kept == kept, r.doc_id
+
+
+def test_quality_bands_do_not_jump_with_the_number_of_texts(spark):
+    """From none to many texts the band moves from the fixed one to the table's in small steps."""
+    texts = [t for t in _prose(random.Random(7), 1200) if 2048 <= len(t) < 2400]
+    lows = []
+    for n in (0, 1, 5, 24, 49, 50, 51, len(texts)):
+        docs = spark.createDataFrame(list(enumerate(texts[:n])), "doc_id long, text string")
+        lows.append(quality.band(2200, False, quality.limits(docs))[0])
+    assert lows[0] == quality._fixed(2200, False)[0] and len(texts) > 52
+    assert abs(lows[5] - lows[4]) < 0.01 and abs(lows[6] - lows[5]) < 0.01
+    assert max(abs(np.diff(lows))) < 0.5 * (max(lows) - min(lows)) + 0.01
 
 
 def test_pipeline_gives_token_ids(spark, tmp_path):
@@ -75,4 +143,5 @@ def test_rows_of_one_document_tie_their_classes(spark):
 
 
 def test_hints_are_read_from_the_whole_attribute():
-    assert html_tree.hint_of([("class", "xq " * 300 + "sidebar")]) == "frame"
+    assert html_tree.hints_of([("class", "xq " * 300 + "sidebar")]) == {"frame"}
+    assert html_tree.hints_of([("class", "post has-sidebar")]) == {"content", "frame"}
