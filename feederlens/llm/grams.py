@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -28,6 +29,24 @@ class _WordHashes(dict):
 
 _HASHES = _WordHashes()
 
+#: What the tasks of one kind keep in a worker for those after them.
+_KEPT: list[dict] = []
+
+
+def kept_between_tasks() -> dict:
+    """A table that a worker keeps until a task comes that does not use such tables."""
+    _KEPT.append({})
+    return _KEPT[-1]
+
+
+def let_go() -> None:
+    """Empties the tables kept between tasks."""
+    if any(_KEPT):
+        for table in _KEPT:
+            table.clear()
+        gc.collect()
+        release()
+
 
 def release() -> None:
     """Gives what this process holds beyond need back to the system."""
@@ -38,10 +57,15 @@ def release() -> None:
         trim(0)
 
 
-def tidied(function: Callable) -> Callable:
-    """``function`` of a task's batches, after which an idle worker holds no memory that the next stage needs."""
+def tidied(function: Callable, uses_kept: bool = False) -> Callable:
+    """``function`` of a task's batches, after which an idle worker holds no memory that the next stage needs.
+
+    Tables kept between tasks stay only where it ``uses_kept`` ones.
+    """
 
     def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not uses_kept:
+            let_go()
         yield from function(batches)
         release()
 

@@ -100,7 +100,7 @@ def _encoded(docs: DataFrame, dictionary: bytes, name: str) -> DataFrame:
                 ], names=["doc_id", "n_tokens", "frame"])
                 at += len(texts)
 
-    return docs.select("doc_id", "text").mapInArrow(grams.tidied(encode), schema)
+    return docs.select("doc_id", "text").mapInArrow(grams.tidied(encode, uses_kept=True), schema)
 
 
 class FileWriter:

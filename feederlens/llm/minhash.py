@@ -56,6 +56,8 @@ SLACK = 0.18
 #: Members times shingles, and bytes, of a block that one task settles.
 MAX_WORK = 1 << 32
 MAX_BYTES = 64_000_000
+#: After a block of so many bytes the worker gives memory back.
+RELEASE_BYTES = 2_000_000
 #: Centres of a bucket in one round of a larger block.
 CENTRES = 16
 #: So many ids (16 MB) may go to all tasks.
@@ -181,6 +183,12 @@ def _settled(percent: int):
     """The components of one block: (a, b) ties each class to its component's smallest."""
 
     def settled(block: pa.Table) -> pa.Table:
+        tied = of_block(block)
+        if block.nbytes >= RELEASE_BYTES:
+            grams.release()
+        return tied
+
+    def of_block(block: pa.Table) -> pa.Table:
         order = np.argsort(block.column("id").to_numpy(), kind="stable")
         ids = block.column("id").to_numpy()[order]
         raw, signed = (block.column(n).to_pylist() for n in ("members", "signature"))

@@ -34,8 +34,10 @@ WINDOW = 2048
 END_ID = 1
 #: Sequence ids of one partition begin at its number times this.
 SEQUENCES = 1 << 40
-#: Rows of a batch that carries token ids, of which each has up to a window.
-ROWS_WITH_IDS = 1000
+#: Rows of a batch that carries token ids, of which each has up to a window, and bytes of
+#: text encoded at once for them: more of either takes memory for little time.
+ROWS_WITH_IDS = 250
+BYTES_WITH_IDS = 1_000_000
 
 SCHEMA = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
@@ -146,13 +148,13 @@ def _laid(pieces: list[tuple], window: int) -> Iterator[tuple]:
         offset += length
 
 
-def _byte_ids(batches: Iterator[pa.RecordBatch], name: str, kept: list) -> Iterator[tuple[int, int]]:
+def _byte_ids(batches: Iterator[pa.RecordBatch], name: str, kept: list, at_once: int) -> Iterator[tuple[int, int]]:
     """(row, tokens) of each document; ``kept`` gets its id and its tokens' bytes."""
     encoder = units.encoder(name)
     end = np.array([END_ID], "<u4").tobytes()
     for batch in batches:
         ids = iter(batch.column(0).to_pylist())
-        for texts in units.slices(batch.column(1)):
+        for texts in units.slices(batch.column(1), at_once):
             flat, offsets = encoder.encode(texts)
             raw, at = memoryview(flat.astype("<u4", copy=False)).cast("B"), (4 * offsets).tolist()
             for a, b in zip(at, at[1:]):
@@ -168,12 +170,13 @@ def pack(docs: DataFrame, size: int = WINDOW, name: str = units.BYTE_BPE, with_i
     table gives an empty result; other columns are not read.
     """
     schema = f"{SCHEMA}, {IDS}" if with_ids else SCHEMA
+    most_rows, at_once = (ROWS_WITH_IDS, BYTES_WITH_IDS) if with_ids else (10_000, units.BYTES_AT_ONCE)
 
     def packed(batches):
         first = TaskContext.get().partitionId() * SEQUENCES
         kept: list = []
         rows = []
-        for row, start, length, window, offset in pack_partition(_byte_ids(batches, name, kept), size):
+        for row, start, length, window, offset in pack_partition(_byte_ids(batches, name, kept, at_once), size):
             doc_id, raw, done = kept[row]
             ids = raw[4 * start : 4 * (start + length)]
             out = (doc_id, start, length, zlib.crc32(ids), len(raw) // 4, first + window, offset)
@@ -181,13 +184,13 @@ def pack(docs: DataFrame, size: int = WINDOW, name: str = units.BYTE_BPE, with_i
             kept[row][2] = done = done + length
             if 4 * done == len(raw):
                 kept[row] = None
-            if len(rows) >= (ROWS_WITH_IDS if with_ids else 10_000):
+            if len(rows) >= most_rows:
                 yield _batch(rows, with_ids)
                 rows = []
         if rows:
             yield _batch(rows, with_ids)
 
-    return docs.select("doc_id", "text").mapInArrow(grams.tidied(packed), schema)
+    return docs.select("doc_id", "text").mapInArrow(grams.tidied(packed, uses_kept=True), schema)
 
 
 def _batch(rows: list[tuple], with_ids: bool) -> pa.RecordBatch:

@@ -24,12 +24,17 @@ import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from feederlens.llm import grams
+
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
 
 #: Units whose tokens a task holds at once, in two generations.
 CACHED_UNITS = 250_000
 
+#: Bytes of text of which the units are told apart at once.
+BYTES_AT_ONCE = 8_000_000
+
 #: Leads the first unit of a text, which no space precedes; texts that hold it are encoded as a whole.
 HEAD = "\x01"
 
@@ -276,7 +281,7 @@ def _cut(flat: np.ndarray, begins: np.ndarray, n: int) -> tuple[np.ndarray, np.n
     return flat, np.diff(np.append(begins, len(flat)))
 
 
-_ENCODERS: dict[str, TextEncoder] = {}
+_ENCODERS: dict[str, TextEncoder] = grams.kept_between_tasks()
 
 
 def encoder(name: str) -> TextEncoder:
@@ -285,7 +290,7 @@ def encoder(name: str) -> TextEncoder:
     return _ENCODERS[name]
 
 
-def slices(texts: pa.Array, most_bytes: int = 8_000_000) -> Iterator[pa.Array]:
+def slices(texts: pa.Array, most_bytes: int = BYTES_AT_ONCE) -> Iterator[pa.Array]:
     """Consecutive parts of a batch with about ``most_bytes`` of text; one text is never cut."""
     sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     part = np.cumsum(sizes) // most_bytes
