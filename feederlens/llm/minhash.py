@@ -11,14 +11,15 @@ by counts) is settled in one: each class in turn is held against all those not
 yet in its component, by signature first, then by its full set. Nothing but
 the resulting components leaves the task.
 
-A larger block is worked off in rounds over all tasks. In each round a bucket
-has up to ``CENTRES`` centres, of different components; a centre is compared
-with all members of other components, then leaves the bucket. As the Jaccard
-distance is a metric, a member linked to the centre at distance d can only be
-linked to one outside the centre's links at e if e <= d + the limit; members
-for which that holds for no other leave too. A bucket is done once all its
-members are in one component. So every link between bucket members is found, or
-its ends are connected anyway, and no bucket emits all its pairs.
+A larger block is worked off by all tasks, by its rarest shingles. Ordered by
+how many sets of the block have them, linked sets have one in common among the
+first of both that lies early enough, in both, for what follows it to reach the
+limit; its place bounds the size of the other set. Each set is first held
+against one: of those that share such shingles, the one most often the set of
+the commonest shingles among the sets of a shingle. Then every set outside a
+shingle's largest component is held against all those of other components that
+fit, in cells of two bounded pieces of the block. So every link is found, or
+its ends are connected anyway, and sets with many shingles of their own meet none.
 
 Pairs whose signatures agree far too little are given up; all others are
 decided on the full sets. Components come from alternating large-star and
@@ -35,7 +36,7 @@ result; other columns are left alone.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -53,13 +54,14 @@ ROWS = 5
 #: Signatures estimate the similarity with a deviation of at most 0.036; pairs
 #: this far below the limit are given up.
 SLACK = 0.18
-#: Members times shingles, and bytes, of a block that one task settles.
+#: Members times shingles and a share of the other signatures, and bytes, of a block that one task settles.
 MAX_WORK = 1 << 32
 MAX_BYTES = 64_000_000
 #: After a block of so many bytes the worker gives memory back.
 RELEASE_BYTES = 2_000_000
-#: Centres of a bucket in one round of a larger block.
-CENTRES = 16
+#: Bytes, and sets, of a piece of a larger block.
+PIECE_BYTES = 4_000_000
+PIECE_SETS = 1024
 #: So many ids (16 MB) may go to all tasks.
 MAX_SENT_IDS = 2_000_000
 
@@ -155,28 +157,45 @@ def _full(n: int):
     return full
 
 
-def _compared(percent: int):
-    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            columns = {n: batch.column(n).to_pylist() for n in ("sig_a", "sig_b", "set_a", "set_b")}
-            highest, linked = [], []
-            for sig_a, sig_b, set_a, set_b in zip(*columns.values(), strict=True):
-                alike = float((np.frombuffer(sig_a, "<u4") == np.frombuffer(sig_b, "<u4")).mean())
-                if alike + SLACK < percent / 100:
-                    highest.append(alike + SLACK)
-                    linked.append(False)
-                    continue
-                one, other = np.frombuffer(set_a, np.uint64), np.frombuffer(set_b, np.uint64)
-                common = len(np.intersect1d(one, other, assume_unique=True))
-                union = len(one) + len(other) - common
-                highest.append(common / union)
-                linked.append(100 * common >= percent * union)
+def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        names = ["block", "row", "id"]
+        raw = batch.column("members").to_pylist()
+        for a, b in grams.in_slices(raw):
+            sizes = np.array([len(s) // 8 for s in raw[a:b]])
+            held = [pa.array(np.repeat(batch.column(n).to_numpy()[a:b], sizes)) for n in names]
+            shingles = np.frombuffer(b"".join(raw[a:b]), np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("a"), batch.column("b"), pa.array(highest, pa.float64()), pa.array(linked, pa.bool_())],
-                names=["a", "b", "highest", "linked"],
+                [*held, pa.array(np.repeat(sizes, sizes)), pa.array(shingles)], names=[*names, "size", "shingle"]
             )
 
-    return compared
+
+def _link(
+    sets: list[np.ndarray], minima: np.ndarray, part: np.ndarray, percent: int, against: Iterable[tuple[int, np.ndarray]]
+) -> None:
+    """Each set held ``against`` others not yet of its label: labels ``part`` of linked ones become the smaller."""
+    sizes = np.array([len(s) for s in sets])
+    _, numbers = np.unique(np.concatenate(sets), return_inverse=True)
+    numbers = np.split(numbers, np.cumsum(sizes)[:-1])
+    marked = np.zeros(int(sizes.sum()), bool)
+    for centre, others in against:
+        others = others[part[others] != part[centre]]
+        others = others[100 * np.minimum(sizes[others], sizes[centre]) >= percent * np.maximum(sizes[others], sizes[centre])]
+        if not len(others):
+            continue
+        alike = np.count_nonzero(minima[others] == minima[centre], axis=1) / minima.shape[1]
+        others = others[alike + SLACK >= percent / 100]
+        if not len(others):
+            continue
+        marked[numbers[centre]] = True
+        places = np.cumsum(sizes[others]) - sizes[others]
+        held = marked[np.concatenate([numbers[i] for i in others.tolist()])]
+        common = np.add.reduceat(held, places, dtype=np.int64)
+        marked[numbers[centre]] = False
+        linked = 100 * common >= percent * (sizes[centre] + sizes[others] - common)
+        for other in np.unique(part[others[linked]]).tolist():
+            low, high = sorted((part[centre], other))
+            part[part == high] = low
 
 
 def _settled(percent: int):
@@ -192,43 +211,51 @@ def _settled(percent: int):
         order = np.argsort(block.column("id").to_numpy(), kind="stable")
         ids = block.column("id").to_numpy()[order]
         raw, signed = (block.column(n).to_pylist() for n in ("members", "signature"))
-        sets = [np.frombuffer(raw[i], np.uint64) for i in order.tolist()]
-        minima = np.stack([np.frombuffer(signed[i], "<u4") for i in order.tolist()])
-        sizes = np.array([len(s) for s in sets])
-        _, numbers = np.unique(np.concatenate(sets), return_inverse=True)
-        numbers = np.split(numbers, np.cumsum(sizes)[:-1])
-        marked = np.zeros(int(sizes.sum()), bool)
         part = np.arange(len(ids))
-        for centre in range(len(ids)):
-            others = np.flatnonzero(part != part[centre])
-            # Pairs with a smaller centre have been compared, or were of one component.
-            others = others[others > centre]
-            if not len(others):
-                continue
-            alike = (minima[others] == minima[centre]).mean(1)
-            others = others[alike + SLACK >= percent / 100]
-            if not len(others):
-                continue
-            marked[numbers[centre]] = True
-            firsts = np.cumsum(sizes[others]) - sizes[others]
-            held = marked[np.concatenate([numbers[i] for i in others.tolist()])]
-            common = np.add.reduceat(held, firsts, dtype=np.int64)
-            marked[numbers[centre]] = False
-            linked = 100 * common >= percent * (sizes[centre] + sizes[others] - common)
-            for other in np.unique(part[others[linked]]).tolist():
-                low, high = sorted((part[centre], other))
-                part[part == high] = low
+        _link(
+            [np.frombuffer(raw[i], np.uint64) for i in order.tolist()],
+            np.stack([np.frombuffer(signed[i], "<u4") for i in order.tolist()]), part, percent,
+            # Pairs with a smaller one have been compared, or were of one component.
+            ((i, np.arange(i + 1, len(ids))) for i in range(len(ids))),
+        )
         tied = ids != ids[part]
         return pa.table({"a": pa.array(ids[tied]), "b": pa.array(ids[part][tied])})
 
     return settled
 
 
+def _crossed(percent: int):
+    """The ties (a, b) between components that pairs (a, b) of the rows of two pieces of a block bring."""
+
+    def crossed(pairs: pa.Table, held: pa.Table) -> pa.Table:
+        tied = of_cell(pairs, held)
+        if held.nbytes >= RELEASE_BYTES:
+            grams.release()
+        return tied
+
+    def of_cell(pairs: pa.Table, held: pa.Table) -> pa.Table:
+        rows, places = np.unique(held.column("row").to_numpy(), return_index=True)
+        raw, signed = (held.column(n).take(pa.array(places)).to_pylist() for n in ("members", "signature"))
+        was = held.column("component").to_numpy()[places]
+        part = was.copy()
+        asking, asked = (np.searchsorted(rows, pairs.column(n).to_numpy()) for n in ("a", "b"))
+        order = np.argsort(asking, kind="stable")
+        centres, firsts = np.unique(asking[order], return_index=True)
+        _link(
+            [np.frombuffer(s, np.uint64) for s in raw], np.stack([np.frombuffer(s, "<u4") for s in signed]), part, percent,
+            zip(centres.tolist(), np.split(asked[order], firsts[1:]), strict=True),
+        )
+        ties = np.unique(np.stack([was, part])[:, was != part], axis=1)
+        return pa.table({"a": pa.array(ties[0]), "b": pa.array(ties[1])})
+
+    return crossed
+
+
 class _Groups:
     """Links between classes, worked off bucket by bucket."""
 
     def __init__(self, docs: DataFrame, n: int, percent: int):
-        self.n, self.percent, self.limit = n, percent, percent / 100
+        self.n, self.percent = n, percent
         self.docs = docs.select("doc_id", "text")
         self.scratch = Scratch(docs.sparkSession)
         self.signed = self.scratch.keep(
@@ -254,23 +281,12 @@ class _Groups:
         )
         return held.select("doc_id", "a").join(held.groupBy("doc_id").agg(F.min("a").alias("b")), "doc_id").select("a", "b")
 
-    def _verify(self, pairs: DataFrame) -> DataFrame:
-        """(a, b, highest, linked) of pairs a > b: the similarity, or what it is at most."""
-        one = self.sets.select(F.col("id").alias("a"), F.col("signature").alias("sig_a"), F.col("members").alias("set_a"))
-        other = self.sets.select(F.col("id").alias("b"), F.col("signature").alias("sig_b"), F.col("members").alias("set_b"))
-        found = pairs.join(one, "a").join(other, "b").mapInArrow(
-            grams.tidied(_compared(self.percent)), "a long, b long, highest double, linked boolean"
-        )
-        # Several rows of one doc_id: the most alike texts count.
-        return found.groupBy("a", "b").agg(F.max("highest").alias("highest"), F.max("linked").alias("linked"))
-
     def components(self) -> DataFrame:
         """(node, component) of all classes that are linked with a smaller one."""
         scratch = self.scratch
         spread = self.classes.select("id", F.explode("bands").alias("bucket"))
         shared = spread.groupBy("bucket").agg(F.count("*").alias("n"), F.min("id").alias("first")).where("n > 1")
-        members = scratch.keep(spread.join(shared.select("bucket", "first"), "bucket"), "members")
-        ties = members.select(F.col("id").alias("a"), F.col("first").alias("b"))
+        ties = spread.join(shared, "bucket").select(F.col("id").alias("a"), F.col("first").alias("b"))
         blocks = connected(ties, scratch)
         named = scratch.keep(
             blocks.select(F.col("node").alias("id"), F.col("component").alias("block"))
@@ -284,7 +300,8 @@ class _Groups:
         )
         length = F.octet_length("members").cast("long")
         sizes = self.sets.groupBy("block").agg(F.count("*").alias("n"), F.sum(length).alias("bytes"))
-        fits = (F.col("n") * F.col("bytes") / 8 <= MAX_WORK) & (F.col("bytes") <= MAX_BYTES)
+        work = F.col("n") * (F.col("bytes") / 8 + F.col("n") * (BANDS * ROWS // 2))
+        fits = (work <= MAX_WORK) & (F.col("bytes") <= MAX_BYTES)
         large = scratch.keep(sizes.where(~fits).select("block"), "large")
         small = self.sets.join(large, "block", "left_anti")
         stars = scratch.keep(
@@ -292,64 +309,104 @@ class _Groups:
         ).select(F.col("a").alias("node"), F.col("b").alias("component"))
         if large.isEmpty():
             return stars
-        inside = named.join(large, "block", "left_semi").select("id")
-        return stars.unionByName(self._in_rounds(members.join(inside, "id", "left_semi")))
+        return stars.unionByName(self._by_rarest(large))
 
-    def _in_rounds(self, members: DataFrame) -> DataFrame:
-        """Components of the members (bucket, id, first) of large blocks."""
-        scratch = self.scratch
-        pairs = members.where("id > first").groupBy(F.col("id").alias("a")).agg(F.min("first").alias("b"))
-        tested = scratch.keep(self._verify(pairs), "tested")
-        stars = connected(tested.where("linked").select("a", "b"), scratch)
-        members = members.select("bucket", "id")
-        first = Window.partitionBy("bucket").orderBy("n", "centre")
-        while True:
-            named = members.join(stars.withColumnRenamed("node", "id"), "id", "left").select(
-                "bucket", "id", F.coalesce("component", "id").alias("component")
-            )
-            # Centres are the smallest ids of the bucket's smallest components, so that small ones go first.
-            parts = named.groupBy("bucket", "component").agg(F.count("*").alias("n"), F.min("id").alias("centre"))
-            several = parts.groupBy("bucket").agg(F.count("*").alias("parts")).where("parts > 1").select("bucket")
-            centres = (
-                parts.join(several, "bucket").withColumn("place", F.row_number().over(first))
-                .where(F.col("place") <= CENTRES).select("bucket", "centre", F.col("component").alias("own"))
-            )
-            todo = scratch.keep(named.join(centres, "bucket"), "todo")
-            if todo.isEmpty():
-                return stars
-            ordered = todo.where("component != own").select(
-                F.greatest("id", "centre").alias("a"), F.least("id", "centre").alias("b")
-            )
-            fresh = ordered.distinct().join(tested, ["a", "b"], "left_anti")
-            tested = scratch.keep(tested.unionByName(self._verify(fresh)), "tested")
-            stars = connected(
-                tested.where("linked").select("a", "b").unionByName(
-                    stars.select(F.col("node").alias("a"), F.col("component").alias("b"))
-                ),
-                scratch,
-            )
-            members = scratch.keep(self._rest(todo, tested), "members")
-
-    def _rest(self, todo: DataFrame, tested: DataFrame) -> DataFrame:
-        """Members that may still be linked to one of another component of their bucket."""
-        pair = [F.greatest("id", "centre").alias("a"), F.least("id", "centre").alias("b")]
-        judged = (
-            todo.select("bucket", "id", "centre", "component", "own", *pair)
-            .join(tested, ["a", "b"], "left")
-            .withColumn("compared", F.col("component") != F.col("own"))
+    def _by_rarest(self, large: DataFrame) -> DataFrame:
+        """Components of the classes of ``large`` blocks."""
+        scratch, percent = self.scratch, self.percent
+        self.whole = scratch.keep(
+            self.sets.join(large, "block", "left_semi").withColumn("row", F.monotonically_increasing_id()), "whole"
+        )
+        spread = self.whole.select("block", "row", "id", "members").mapInArrow(
+            grams.tidied(_spread), "block long, row long, id long, size long, shingle long"
+        )
+        common = spread.groupBy("block", "shingle").agg(F.count("*").alias("n")).where("n > 1")
+        own = Window.partitionBy("row")
+        # Shingles that no other set has come first, then the rarest.
+        placed = (
+            spread.join(common, ["block", "shingle"])
+            .withColumn("place", F.col("size") - F.count("*").over(own) + F.row_number().over(own.orderBy("n", "shingle")) - 1)
+            .withColumn("weight", F.sum("n").over(own) / F.col("size"))
         )
-        outside = F.col("compared") & ~F.col("linked")
-        nearest = judged.where(outside).groupBy("bucket", "centre").agg(F.min(1 - F.col("highest")).alias("nearest"))
-        safe = F.col("compared") & F.col("linked") & (
-            F.col("nearest").isNull() | (1 - F.col("highest") + (1 - self.limit) < F.col("nearest") - 1e-9)
+        # What follows is all that a set may have in common with one that shares no earlier shingle.
+        entries = scratch.keep(
+            placed.where(100 * (F.col("size") - F.col("place")) >= percent * F.col("size")).select(
+                "block", "shingle", "row", "id", "size", "weight",
+                F.expr(f"(size - place) * {100 + percent} div {percent} - size").alias("reach"),
+            ),
+            "entries",
         )
-        leaves = (F.col("id") == F.col("centre")) | F.coalesce(safe, F.lit(False))
+        fit = (F.col("size") <= F.col("other.reach")) & (F.col("other.size") <= F.col("reach"))
+        key = ["block", "shingle"]
+        heads = entries.groupBy(key).agg(F.max(F.struct("weight", "row", "size", "reach")).alias("other"))
+        votes = (
+            entries.join(heads, key).where(fit & (F.col("row") != F.col("other.row")))
+            .groupBy("block", F.col("row").alias("a"), F.col("other.row").alias("b")).agg(F.count("*").alias("n"))
+        )
+        nearest = votes.groupBy("block", "a").agg(F.max(F.struct("n", "b")).alias("to")).select("block", "a", "to.b")
+        stars = connected(self._ties_of(nearest, None), scratch)
+
+        named = scratch.keep(self._named(entries.drop("weight"), stars), "named")
+        parts = named.groupBy(*key, "component").agg(
+            F.count("*").alias("n"), F.min("size").alias("least"), F.max("reach").alias("farthest")
+        )
+        several = parts.groupBy(key).agg(
+            F.count("*").alias("parts"), F.max(F.struct("n", "component")).alias("most"),
+            F.min("least").alias("least"), F.max("farthest").alias("farthest"),
+        ).where("parts > 1")
+        rest = (
+            named.join(several, key)
+            .where((F.col("component") != F.col("most.component")) & (F.col("least") <= F.col("reach")) & (F.col("size") <= F.col("farthest")))
+            .select(*key, F.struct("row", "component", "size", "reach", F.col("most.component").alias("most")).alias("other"))
+        )
+        apart = F.col("component") != F.col("other.component")
+        once = (F.col("component") == F.col("other.most")) | (F.col("row") > F.col("other.row"))
+        pairs = rest.join(named, key).where(apart & once & fit).select(
+            "block", F.col("other.row").alias("a"), F.col("row").alias("b")
+        )
+        ties = stars.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        return connected(ties.unionByName(self._ties_of(pairs.distinct(), stars)), scratch)
+
+    def _named(self, rows: DataFrame, stars: DataFrame | None) -> DataFrame:
+        """``rows`` with the component of their id."""
+        if stars is None:
+            return rows.withColumn("component", F.col("id"))
+        named = rows.join(stars.withColumnRenamed("node", "id"), "id", "left")
+        return named.withColumn("component", F.coalesce("component", "id"))
+
+    def _ties_of(self, pairs: DataFrame, stars: DataFrame | None) -> DataFrame:
+        """(a, b) between the components of ``stars`` that linked pairs (block, a, b) of rows tie."""
+        pairs = self.scratch.keep(pairs, "pairs")
+        # Rows held against the same ones are dealt to the same pieces.
+        asking = self._pieces(pairs.groupBy("block", F.col("a").alias("row")).agg(F.min("b").alias("by")), "asking")
+        asked = self._pieces(pairs.select("block", F.col("b").alias("row"), F.col("b").alias("by")).distinct(), "asked")
+        placed = self.scratch.keep(
+            pairs.join(asking.select(F.col("row").alias("a"), F.col("piece").alias("asking")), "a")
+            .join(asked.select(F.col("row").alias("b"), F.col("piece").alias("asked")), "b"),
+            "placed",
+        )
+        cell = ["block", "asking", "asked"]
+        cells = self.scratch.keep(placed.select(cell).distinct(), "cells")
+        sides = [
+            side.withColumnRenamed("piece", name).join(cells, ["block", name]).select(*cell, "row")
+            for side, name in ((asking, "asking"), (asked, "asked"))
+        ]
+        held = sides[0].unionByName(sides[1]).join(self._named(self.whole.drop("block"), stars), "row")
         return (
-            judged.join(nearest, ["bucket", "centre"], "left")
-            .groupBy("bucket", "id").agg(F.max(leaves).alias("leaves"))
-            .where("not leaves").select("bucket", "id")
+            placed.select(*cell, "a", "b").groupBy(cell)
+            .cogroup(held.select(*cell, "row", "component", "signature", "members").groupBy(cell))
+            .applyInArrow(_crossed(self.percent), "a long, b long")
         )
 
+    def _pieces(self, rows: DataFrame, name: str) -> DataFrame:
+        """(block, row, piece) of ``rows`` (block, row, by), in the order of ``by``."""
+        sized = rows.join(self.whole.select("row", F.octet_length("members").cast("long").alias("bytes")), "row")
+        before = Window.partitionBy("block").orderBy("by", "row").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        filled = F.sum(F.greatest(F.col("bytes"), F.lit(PIECE_BYTES // PIECE_SETS))).over(before)
+        return self.scratch.keep(sized.select("block", "row", filled.alias("filled")).select(
+            "block", "row", F.expr(f"filled div {PIECE_BYTES}").alias("piece")
+        ), name)
+
 
 def near_duplicates(docs: DataFrame, n: int = SHINGLE_WORDS, percent: int = SIMILAR_PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of each row of ``docs`` (``doc_id``, ``text``).

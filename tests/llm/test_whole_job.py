@@ -145,3 +145,42 @@ def test_rows_of_one_document_tie_their_classes(spark):
 def test_hints_are_read_from_the_whole_attribute():
     assert html_tree.hints_of([("class", "xq " * 300 + "sidebar")]) == {"frame"}
     assert html_tree.hints_of([("class", "post has-sidebar")]) == {"content", "frame"}
+
+
+def _near(sets, percent):
+    """The component of each set, by comparing all pairs."""
+    part = list(range(len(sets)))
+    for a in range(len(sets)):
+        for b in range(a + 1, len(sets)):
+            common = len(sets[a] & sets[b])
+            if part[a] != part[b] and 100 * common >= percent * (len(sets[a]) + len(sets[b]) - common):
+                low, high = sorted((part[a], part[b]))
+                part = [low if p == high else p for p in part]
+    return part
+
+
+def test_large_block_of_many_components_needs_no_rounds(spark, monkeypatch):
+    """Changed copies of a text, many of them linked with nothing, and short texts with one line in common."""
+    draw = random.Random(8)
+    origin, texts = [f"w{i}" for i in range(120)], []
+    for k in range(480):
+        words = list(origin)
+        # Of four or five changes, those at the ends and side by side still leave it linked.
+        for place in draw.sample(range(120), (0, 1, 2, 4, 4, 4, 5, 5)[k % 8]):
+            words[place] = draw.choice(("the", f"n{draw.randrange(900)}", f"n{k}"))
+        texts.append(" ".join(words[: draw.choice((116, 120, 120))]))
+    line = " ".join(f"l{i}" for i in range(14))
+    texts += [f"{line} m{k} m{k % 7} m{k + 1}" for k in range(60)]
+    draw.shuffle(texts)
+    data = [(i, t) for i, t in enumerate(texts)]
+    stored = []
+    keep = minhash.Scratch.keep
+    monkeypatch.setattr(minhash.Scratch, "keep", lambda self, df, name: stored.append(name) or keep(self, df, name))
+    monkeypatch.setattr(minhash, "MAX_WORK", 0)
+    monkeypatch.setattr(minhash, "PIECE_SETS", 50, raising=False)
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    found = {r.doc_id: r.component_id for r in minhash.near_duplicates(docs, 3, 85).collect()}
+    sets = [{tuple(w[i : i + 3]) for i in range(len(w) - 2)} for w in (t.split() for t in texts)]
+    part = _near(sets, 85)
+    assert found == dict(enumerate(part)) and 100 < len(set(part)) < 450, len(set(part))
+    assert len(stored) < 45, len(stored)
